@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-_MODULES = ("silver_queries",)
+_MODULES = ("silver_queries", "page_queries", "value_queries", "lake_queries")
 
 
 def entries() -> dict:

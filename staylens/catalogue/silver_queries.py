@@ -236,7 +236,7 @@ def affordable_observations(spark, sf_dir):
 
 
 def cheapest_available(spark, sf_dir):
-    return analyst.cheapest_available(t.booking_bronze(spark, sf_dir), "NATION_3__AMERICA")
+    return analyst.cheapest_available(t.booking_bronze(spark, sf_dir), "NATION_3__EUROPE")
 
 
 def top_prices(spark, sf_dir):
@@ -340,7 +340,7 @@ QUERIES = {
     "cheapest_available": (
         cheapest_available,
         f"{t.with_tables('booking')} SELECT name, round(total_price / nullif(num_nights, 0), 2) AS price_per_night, "
-        "rating FROM booking WHERE search_area = 'NATION_3__AMERICA' AND is_available "
+        "rating FROM booking WHERE search_area = 'NATION_3__EUROPE' AND is_available "
         "ORDER BY price_per_night ASC NULLS LAST",
     ),
     "top_prices": (
