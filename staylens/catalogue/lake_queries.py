@@ -53,7 +53,7 @@ def facility_round_trip(spark, sf_dir):
         .agg(F.max("total_price").alias("rating"))
     )
     bronze.append(rows, bronze.FACILITY, base)
-    again = rows.where("facility_id LIKE '%1'").withColumn("rating", F.lit(5.0))
+    again = rows.where("facility_id LIKE 'U-1%'").withColumn("rating", F.lit(5.0))
     bronze.append(again, bronze.FACILITY, base)
     return bronze.read(spark, bronze.FACILITY, base).select(
         "facility_id", "scraped_at", "rating", "amenity_wifi", F.col("scrape_date").cast("string")
@@ -165,7 +165,7 @@ QUERIES = {
     "facility_round_trip": (
         facility_round_trip,
         f"{t.with_tables('weekly')} SELECT facility_id, scraped_at, "
-        "CASE WHEN facility_id LIKE '%1' THEN 5.0 ELSE max(total_price) END AS rating, "
+        "CASE WHEN facility_id LIKE 'U-1%' THEN 5.0 ELSE max(total_price) END AS rating, "
         "false AS amenity_wifi, substr(scraped_at, 1, 10) AS scrape_date FROM weekly GROUP BY facility_id, scraped_at",
     ),
     "calendar_round_trip": (

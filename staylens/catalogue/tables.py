@@ -127,12 +127,13 @@ def city_centres(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def weekly_availability(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Weekly scrapes of one facility per user, available at a high value."""
+    """Weekly scrapes of one facility per user and event type, available at a high value."""
     user = F.col("user_id")
+    facility = F.concat(user, F.lit("-"), "event_type")
     return table(spark, sf_dir, "events").select(
-        F.concat(F.lit("U-"), user).alias("facility_id"),
-        F.concat(F.lit("User "), user).alias("name"),
-        F.concat(F.lit("/rooms/"), user).alias("url"),
+        F.concat(F.lit("U-"), facility).alias("facility_id"),
+        F.concat(F.lit("User "), facility).alias("name"),
+        F.concat(F.lit("/rooms/"), facility).alias("url"),
         F.concat(F.lit("Area"), user % 3, F.lit("__Web")).alias("search_area"),
         F.lit("2026-06-01").alias("checkin_date"),
         _day(F.date_add(F.lit("2026-06-01").cast("date"), (user % 4).cast("int"))).alias("checkout_date"),
@@ -197,8 +198,8 @@ SQL = {
         CASE WHEN n_nationkey % 5 <> 4 THEN 42 + n_nationkey / 10.0::DOUBLE END AS centre_lat,
         CASE WHEN n_nationkey % 5 <> 4 THEN 12 + n_nationkey / 20.0::DOUBLE END AS centre_lon
         FROM nation JOIN region ON n_regionkey = r_regionkey WHERE n_nationkey % 7 <> 6)""",
-    "weekly": """weekly AS (SELECT 'U-' || user_id AS facility_id, 'User ' || user_id AS name,
-        '/rooms/' || user_id AS url, 'Area' || (user_id % 3) || '__Web' AS search_area,
+    "weekly": """weekly AS (SELECT 'U-' || user_id || '-' || event_type AS facility_id,
+        'User ' || user_id || '-' || event_type AS name, '/rooms/' || user_id || '-' || event_type AS url, 'Area' || (user_id % 3) || '__Web' AS search_area,
         CAST(user_id % 4 AS BIGINT) AS num_nights,
         strftime(date_trunc('week', ts), '%Y-%m-%d') || 'T00:00:00' AS scraped_at,
         value AS total_price, 'EUR' AS currency, (user_id % 50) / 5.0::DOUBLE AS rating,

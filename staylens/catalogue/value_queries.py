@@ -192,8 +192,7 @@ def availability_recovery(spark, sf_dir):
 
 
 def availability_recovery_all_areas(spark, sf_dir):
-    rows = t.weekly_availability(spark, sf_dir)
-    return recovery.availability_recovery_all_areas(rows.where("scraped_at <= '2024-01-15T00:00:00'"))
+    return recovery.availability_recovery_all_areas(t.weekly_availability(spark, sf_dir))
 
 
 def alert_text(spark, sf_dir):
@@ -201,18 +200,22 @@ def alert_text(spark, sf_dir):
     return alerts.select("facility_id", "price_per_night", recovery.alert_text().alias("message"))
 
 
-_ALERTS = f"""{t.with_tables('weekly')},
+def _alerts(latest: str) -> str:
+    """Alert rows at a scrape: a literal, or the newest of every area."""
+    return f"""{t.with_tables('weekly')},
+latest AS (SELECT search_area, {latest} AS newest_at FROM weekly GROUP BY search_area),
+dated AS (SELECT * FROM weekly JOIN latest USING (search_area)),
 history AS (SELECT search_area, facility_id, substr(scraped_at, 1, 10) AS scrape_date,
-    max(CAST(is_available AS INTEGER)) AS ever FROM weekly
-  WHERE scraped_at < '2024-01-15T00:00:00' GROUP BY ALL),
+    max(CAST(is_available AS INTEGER)) AS ever FROM dated WHERE scraped_at < newest_at GROUP BY ALL),
 unavailable AS (SELECT search_area, facility_id, min(scrape_date) AS first_unavailable_date FROM history
   WHERE ever = 0 GROUP BY ALL),
 available AS (SELECT DISTINCT search_area, facility_id FROM history WHERE ever = 1),
 alerts AS (SELECT w.facility_id, name, url, w.search_area, first_unavailable_date, scraped_at AS recovered_at,
     round(total_price / nullif(num_nights, 0), 2) AS price_per_night, currency, rating
-  FROM weekly w JOIN unavailable USING (search_area, facility_id)
+  FROM dated w JOIN unavailable USING (search_area, facility_id)
   LEFT JOIN available a USING (search_area, facility_id)
-  WHERE a.facility_id IS NULL AND w.is_available AND w.scraped_at = '2024-01-15T00:00:00')"""
+  WHERE a.facility_id IS NULL AND w.is_available AND w.scraped_at = newest_at)"""
+
 
 QUERIES = {
     "parse_number": (parse_number, _PARSE_NUMBER),
@@ -249,15 +252,15 @@ QUERIES = {
     "pending_capped": (pending_capped, f"{_PENDING} ORDER BY facility_id, url LIMIT 20"),
     "availability_recovery": (
         availability_recovery,
-        f"{_ALERTS} SELECT * FROM alerts WHERE search_area = 'Area1__Web'",
+        _alerts("'2024-01-15T00:00:00'") + " SELECT * FROM alerts WHERE search_area = 'Area1__Web'",
     ),
     "availability_recovery_all_areas": (
         availability_recovery_all_areas,
-        f"{_ALERTS} SELECT * FROM alerts",
+        _alerts("max(scraped_at)") + " SELECT * FROM alerts",
     ),
     "alert_text": (
         alert_text,
-        f"{_ALERTS} SELECT facility_id, price_per_night, '[ALERT] ''' || name || ''' (id=' || facility_id || "
+        _alerts("max(scraped_at)") + " SELECT facility_id, price_per_night, '[ALERT] ''' || name || ''' (id=' || facility_id || "
         "') in ' || search_area || ' is AVAILABLE again as of ' || recovered_at || '. Price: ' || "
         "coalesce(price_per_night || ' ' || currency, 'price unknown') || '. URL: ' || url AS message FROM alerts",
     ),

@@ -19,24 +19,32 @@ SILVER = {
 HISTORY_PREFIX = "silver_history"
 
 # A quoted text or a comment is left alone; a dataset name is quoted, since a
-# dotted view name has to be one identifier; a quoted day unit loses its quotes.
+# dotted view name has to be one identifier; a quoted day unit loses its quotes;
+# round() works on the scaled binary value, as everywhere else in the lake.
 _SQL_PARTS = re.compile(
     r"""(?P<skip>'(?:[^']|'')*'|`[^`]*`|--[^\n]*)
     |(?P<name>\b(?:bronze|silver|silver_history)\.(?:airbnb|booking)
         \.(?:accommodations|availability|facility)\b)
-    |(?P<diff>\bdate_?diff\s*\(\s*)'(?P<unit>\w+)'""",
+    |(?P<diff>\bdate_?diff\s*\(\s*)'(?P<unit>\w+)'
+    |(?P<round>\bround\s*\()""",
     re.I | re.X,
 )
+_ROUND = """
+CREATE OR REPLACE TEMPORARY FUNCTION round_scaled(x DOUBLE, places INT DEFAULT 0) RETURNS DOUBLE
+RETURN round(x * power(10D, places)) / power(10D, places)
+"""
 
 
 def spark_sql_text(sql: str) -> str:
-    """Adapt dataset names and ``date_diff('day', ...)`` to Spark's SQL."""
+    """Adapt dataset names, ``date_diff('day', ...)`` and ``round`` to Spark's SQL."""
 
     def adapt(part: re.Match) -> str:
         if part["name"]:
             return f"`{part['name'].lower()}`"
         if part["unit"]:
             return f"{part['diff']}{part['unit'].upper()}"
+        if part["round"]:
+            return "round_scaled("
         return part[0]
 
     return _SQL_PARTS.sub(adapt, sql)
@@ -65,6 +73,7 @@ class DataLake:
         self.spark = configure(spark)
         self.base = base
         self.registered: list[str] = []
+        self.spark.sql(_ROUND)
         self.refresh()
 
     def refresh(self) -> None:
