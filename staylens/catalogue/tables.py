@@ -19,7 +19,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _day(value: Column) -> Column:
-    return F.date_format(value, "yyyy-MM-dd")
+    return value.cast("date").cast("string")
 
 
 def _items(spark: SparkSession, sf_dir: str) -> DataFrame:
