@@ -18,13 +18,26 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return configure(spark).read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def spread_table(spark: SparkSession, sf_dir: str, name: str, *keys: str) -> DataFrame:
+    """A table whose rows are about to grow, on at least as many tasks as cores.
+
+    Large inputs already arrive in more tasks than that and are not moved; a
+    file of a single row group would keep all but one core idle.
+    """
+    frame = table(spark, sf_dir, name)
+    cores = spark.sparkContext.defaultParallelism
+    if frame._jdf.queryExecution().toRdd().getNumPartitions() >= cores:
+        return frame
+    return frame.repartition(cores, *keys)
+
+
 def _day(value: Column) -> Column:
     return value.cast("date").cast("string")
 
 
 def _items(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items with order date, part, and the supplier's nation and region."""
-    lineitem = table(spark, sf_dir, "lineitem")
+    lineitem = spread_table(spark, sf_dir, "lineitem", "l_orderkey", "l_partkey", "l_linenumber")
     orders = table(spark, sf_dir, "orders")
     part = table(spark, sf_dir, "part")
     supplier = table(spark, sf_dir, "supplier")
@@ -93,7 +106,8 @@ def airbnb_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
 def facility_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One detail scrape per line item."""
     line, supplier = F.col("l_linenumber"), F.col("l_suppkey")
-    return table(spark, sf_dir, "lineitem").select(
+    items = spread_table(spark, sf_dir, "lineitem", "l_orderkey", "l_partkey", "l_linenumber")
+    return items.select(
         F.concat(F.lit("P-"), "l_partkey").alias("facility_id"),
         F.concat(_day(F.col("l_shipdate")), F.lit("T0"), (line % 10).cast("string"), F.lit(":00:00")).alias(
             "scraped_at"

@@ -22,7 +22,8 @@ def parse_number(spark, sf_dir):
         .when(style == 2, F.concat(F.lit("€ "), F.translate(F.replace(english, F.lit(",")), ".", ",")))
         .otherwise(F.translate(whole, ",", "."))
     )
-    return t.table(spark, sf_dir, "lineitem").select(
+    items = t.spread_table(spark, sf_dir, "lineitem", "l_orderkey", "l_partkey", "l_linenumber")
+    return items.select(
         "l_orderkey", "l_linenumber", "l_partkey", text.parse_number(written).alias("price")
     )
 

@@ -56,5 +56,5 @@ def latest_located_facility(facilities: DataFrame) -> DataFrame:
 def first_occurrences(cards: DataFrame, search_keys: Sequence[str]) -> DataFrame:
     """Drop listings repeated on later result pages of the same search."""
     keyed = cards.withColumn("_name_key", name_if_unknown(F.col("facility_id"), F.col("name")))
-    keys = [*search_keys, "facility_id", "_name_key"]
+    keys = ["facility_id", "_name_key", *search_keys]
     return first_per(keyed, keys, ["page", "position"]).drop("_name_key")

@@ -7,8 +7,9 @@ import re
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from staylens import schemas
 from staylens.functions import stay, text
-from staylens.operators.lookup import checked_lookup, salted_join
+from staylens.operators.lookup import salted_join
 
 KEYS = ["search_area", "facility_id"]
 # The accepted shapes of the two arguments.
@@ -28,72 +29,72 @@ def check_timestamp(timestamp: str) -> str:
     return timestamp
 
 
-def never_available(history: DataFrame) -> DataFrame:
-    """Per area and facility without any available scrape: the first unavailable date.
+def first_sightings(rows: DataFrame) -> DataFrame:
+    """Per area and facility: first seen unavailable, first seen available, last seen.
 
-    One aggregation replaces the chain "best state per day, first bad day,
-    minus facilities with a good day": without a good scrape no day is good.
+    Fixed-width timestamps keep this a hash aggregation with partial results
+    per task, so a hot facility costs one row per task in the shuffle.
     """
-    scrape_date = text.timestamp_to_date_text(F.col("scraped_at")).try_cast("date")
-    return (
-        history.groupBy(*KEYS)
-        .agg(
-            F.max("is_available").alias("_ever"),
-            F.min(F.when(~F.col("is_available"), scrape_date)).alias("_first"),
-        )
-        .where("NOT _ever")
-        .select(*KEYS, F.col("_first").cast("string").alias("first_unavailable_date"))
+    at = F.col("scraped_at").try_cast("timestamp")
+    keyed = rows.where("search_area IS NOT NULL AND facility_id IS NOT NULL")
+    return keyed.groupBy(*KEYS).agg(
+        F.min(F.when(~F.col("is_available"), at)).alias("first_unavailable_at"),
+        F.min(F.when(F.col("is_available"), at)).alias("first_available_at"),
+        F.max(at).alias("last_seen_at"),
     )
 
 
-def price_per_night(rows_total_price: Column, checkin: Column, checkout: Column) -> Column:
-    return stay.price_per(rows_total_price, stay.num_nights(checkin, checkout))
+def recovered(sightings: DataFrame) -> DataFrame:
+    """Facilities whose first available scrape follows an unavailable one.
 
+    "Never available on any earlier day, available now" holds exactly at that
+    first available scrape, so no anti-join with past availability is needed.
+    """
+    return sightings.where("first_unavailable_at < first_available_at").select(
+        *KEYS,
+        F.col("first_unavailable_at").cast("date").cast("string").alias("first_unavailable_date"),
+        F.col("first_available_at").alias("_at"),
+    )
 
-def _alerts(history: DataFrame, current: DataFrame) -> DataFrame:
-    available_now = current.where("is_available").select(
-        "facility_id",
+
+def alerts(rows: DataFrame, recoveries: DataFrame) -> DataFrame:
+    """Every available row of a recovered facility's first available scrape."""
+    nights = stay.num_nights(F.col("checkin_date"), F.col("checkout_date"))
+    available = rows.where("is_available").select(
+        *KEYS,
+        F.col("scraped_at").try_cast("timestamp").alias("_at"),
         "name",
         "url",
-        "search_area",
         F.col("scraped_at").alias("recovered_at"),
-        price_per_night(F.col("total_price"), F.col("checkin_date"), F.col("checkout_date")).alias(
-            "price_per_night"
-        ),
-        "currency",
-        "rating",
-    )
-    return salted_join(available_now, never_available(history), KEYS, "inner").select(
-        "facility_id",
-        "name",
-        "url",
-        "search_area",
-        "first_unavailable_date",
-        "recovered_at",
-        "price_per_night",
+        stay.price_per(F.col("total_price"), nights).alias("price_per_night"),
         "currency",
         "rating",
     )
+    return salted_join(available, recoveries, [*KEYS, "_at"], "inner").select(*schemas.ALERT.names)
 
 
 def availability_recovery(bronze: DataFrame, search_area: str, latest_scraped_at: str) -> DataFrame:
     """Alerts for one area at one scrape, as a lazy DataFrame."""
     area = text.sanitise_area(F.lit(check_area(search_area)))
     latest = F.lit(check_timestamp(latest_scraped_at))
-    rows = bronze.where(F.col("search_area") == area)
-    return _alerts(
-        rows.where(F.col("scraped_at") < latest), rows.where(F.col("scraped_at") == latest)
-    )
+    rows = bronze.where((F.col("search_area") == area) & (F.col("scraped_at") <= latest))
+    found = recovered(first_sightings(rows)).where(F.col("_at") == latest.cast("timestamp"))
+    return alerts(rows.where(F.col("scraped_at") == latest), found)
 
 
 def availability_recovery_all_areas(bronze: DataFrame) -> DataFrame:
-    """Alerts for every area at its own newest scrape, in one plan."""
-    newest = bronze.groupBy("search_area").agg(F.max("scraped_at").alias("_newest"))
-    dated = checked_lookup(bronze, newest, ["search_area"], "inner")
-    return _alerts(
-        dated.where("scraped_at < _newest").drop("_newest"),
-        dated.where("scraped_at = _newest").drop("_newest"),
-    )
+    """Alerts for every area at its own newest scrape, in one plan.
+
+    The newest scrape per area comes from the per-facility aggregate, not from
+    another pass over the observations: taking the maximum of whole sightings
+    keeps both uses of the aggregate identical, so they share its shuffle.
+    """
+    sightings = first_sightings(bronze)
+    latest = F.max(F.struct("last_seen_at", "first_unavailable_at", "first_available_at"))
+    newest = sightings.groupBy("search_area").agg(latest["last_seen_at"].alias("_newest"))
+    just_now = sightings.where("first_available_at = last_seen_at")
+    found = salted_join(recovered(just_now), newest, ["search_area"], "inner")
+    return alerts(bronze, found.where("_at = _newest").drop("_newest"))
 
 
 def alert_text() -> Column:

@@ -12,7 +12,8 @@ from staylens.operators.lookup import checked_lookup, salted_join
 from staylens.operators.pick import latest_located_facility, latest_per, name_if_unknown
 from staylens.operators.scale import with_min_max_scaled
 
-STAY_KEYS = ["city", "country", "facility_id", "_name_key", "checkin_date", "checkout_date"]
+# Most selective first: the sort behind the aggregation compares this prefix.
+STAY_KEYS = ["facility_id", "checkin_date", "checkout_date", "city", "country", "_name_key"]
 
 
 def newest_stays(bronze: DataFrame, *carried: str) -> DataFrame:

@@ -17,6 +17,8 @@ REQUIRED_CONF = {
     # Re-plan on measured shuffle sizes: coalescing, broadcast, skew splits.
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # A page can be megabytes of text: keep few of them in one Arrow batch.
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "64",
 }
 
 

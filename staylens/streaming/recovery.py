@@ -1,8 +1,8 @@
 """Streaming alerts: listings seen unavailable first and available now.
 
 A listing needs two facts only, the first time it was seen unavailable and the
-first time it was seen available. Both are minima, so batches may arrive in any
-order and a hot listing shrinks to one row per task before the shuffle. The
+first time it was seen available. Both are minima, so micro-batches may cut a run
+anywhere and a hot listing shrinks to one row per task before the shuffle. The
 facts live in a Parquet table with one version per micro-batch; a replayed
 batch starts from the previous version and rewrites its own results.
 """
@@ -15,63 +15,29 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from staylens import schemas
-from staylens.functions import text
-from staylens.operators.lookup import salted_join
-from staylens.operators.recovery import KEYS, price_per_night
+from staylens.operators.recovery import KEYS, alerts, first_sightings, recovered
 from staylens.sources import storage
 
+MOMENTS = ("first_unavailable_at", "first_available_at", "last_seen_at")
 STATE = T.StructType(
-    [
-        T.StructField(name, T.StringType())
-        for name in (*KEYS, "first_unavailable_at", "first_available_at")
-    ]
+    [T.StructField(name, T.StringType()) for name in KEYS]
+    + [T.StructField(name, T.TimestampType()) for name in MOMENTS]
 )
 
 
-def first_sightings(rows: DataFrame) -> DataFrame:
-    """Per area and facility the first scrape in either state."""
-    at = F.col("scraped_at")
-    return rows.groupBy(*KEYS).agg(
-        F.min(F.when(~F.col("is_available"), at)).alias("first_unavailable_at"),
-        F.min(F.when(F.col("is_available"), at)).alias("first_available_at"),
-    )
-
-
 def merged(earlier: DataFrame, later: DataFrame) -> DataFrame:
+    """Combine the sightings of two sets of rows."""
     return (
         earlier.unionByName(later)
         .groupBy(*KEYS)
         .agg(
             F.min("first_unavailable_at").alias("first_unavailable_at"),
             F.min("first_available_at").alias("first_available_at"),
+            F.max("last_seen_at").alias("last_seen_at"),
         )
     )
 
 
-def recoveries(rows: DataFrame, sightings: DataFrame) -> DataFrame:
-    """Alert rows: available, never available earlier, unavailable earlier."""
-    recovered = sightings.where("first_unavailable_at < first_available_at")
-    available = rows.where("is_available").select(
-        *KEYS,
-        "name",
-        "url",
-        F.col("scraped_at").alias("recovered_at"),
-        price_per_night(F.col("total_price"), F.col("checkin_date"), F.col("checkout_date")).alias(
-            "price_per_night"
-        ),
-        "currency",
-        "rating",
-    )
-    return (
-        salted_join(available, recovered, KEYS, "inner")
-        .where("recovered_at = first_available_at")
-        .withColumn(
-            "first_unavailable_date", text.timestamp_to_date_text(F.col("first_unavailable_at"))
-        )
-        .select(*schemas.ALERT.names)
-    )
-
-
 def _epochs(spark: SparkSession, folder: str) -> list[int]:
     names = storage.children(spark, folder)
     return sorted(int(n.split("=")[1]) for n in names if n.startswith("epoch="))
@@ -80,7 +46,7 @@ def _epochs(spark: SparkSession, folder: str) -> list[int]:
 def start_recovery(rows: DataFrame, folder: str, checkpoint: str) -> StreamingQuery:
     """Process everything that has arrived; alerts collect below ``folder``."""
     spark = rows.sparkSession
-    states, alerts = f"{folder}/state", f"{folder}/alerts"
+    states, raised = f"{folder}/state", f"{folder}/alerts"
 
     def step(batch: DataFrame, epoch: int) -> None:
         done = [e for e in _epochs(spark, states) if e < epoch]
@@ -91,7 +57,7 @@ def start_recovery(rows: DataFrame, folder: str, checkpoint: str) -> StreamingQu
         state_path = f"{states}/epoch={epoch}"
         seen.write.mode("overwrite").parquet(state_path)
         current = spark.read.schema(STATE).parquet(state_path)
-        recoveries(batch, current).write.mode("overwrite").parquet(f"{alerts}/epoch={epoch}")
+        alerts(batch, recovered(current)).write.mode("overwrite").parquet(f"{raised}/epoch={epoch}")
         for old in done[:-1]:
             storage.delete(spark, f"{states}/epoch={old}")
 

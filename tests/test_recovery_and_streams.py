@@ -121,3 +121,13 @@ def test_stream_recovery_keeps_state_between_batches(spark, tmp_path):
         ("other", "2024-01-14", D3),
         ("twice", "2024-01-14", D1),
     ]
+
+
+def test_all_areas_share_one_aggregation(spark, tmp_path):
+    path = str(tmp_path / "rows")
+    history(spark, *ROWS).write.parquet(path)
+    alerts = recovery.availability_recovery_all_areas(spark.read.parquet(path))
+    assert alerts.count() == 2
+    alerts.collect()
+    plan = alerts._jdf.queryExecution().executedPlan().toString()
+    assert "ReusedExchange" in plan and "partial_min" in plan
