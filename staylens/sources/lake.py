@@ -65,8 +65,10 @@ class DataLake:
     """Registers the datasets below ``base`` and answers SQL over them.
 
     Bronze datasets and the newest silver snapshots keep their three-part
-    names; ``silver_history.*`` holds all snapshots. A dataset without files is
-    skipped and only fails when a query names it.
+    names; ``silver_history.*`` holds all snapshots, and every bronze dataset
+    also has its short view name. A dataset without files is skipped and only
+    fails when a query names it. The names belong to the session: the lake
+    registered last owns them.
     """
 
     def __init__(self, spark: SparkSession, base: str) -> None:
@@ -80,11 +82,11 @@ class DataLake:
         """Register what exists now; call again after new data has landed."""
         self.registered = []
         for dataset in bronze.DATASETS:
-            self._offer(
-                dataset.name,
-                storage.has_files(self.spark, dataset.root(self.base)),
-                lambda d=dataset: bronze.read(self.spark, d, self.base),
-            )
+            stored = storage.has_files(self.spark, dataset.root(self.base))
+            for name in (dataset.name, dataset.view):
+                self._offer(
+                    name, stored, lambda d=dataset: bronze.read(self.spark, d, self.base)
+                )
         for name, folder in SILVER.items():
             stored = bool(silver_store.snapshots(self.spark, self.base, folder))
             self._offer(
@@ -101,7 +103,7 @@ class DataLake:
             frame().createOrReplaceTempView(f"`{name}`")
             self.registered.append(name)
         else:
-            self.spark.catalog.dropTempView(f"`{name}`")
+            self.spark.catalog.dropTempView(name)
 
     def table(self, name: str) -> DataFrame:
         return self.spark.table(f"`{name}`")

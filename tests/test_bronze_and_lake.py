@@ -107,7 +107,7 @@ def test_lake_registry_snapshots_and_sql(spark, tmp_path):
         base,
     )
     lake = DataLake(spark, base)
-    assert lake.registered == ["bronze.booking.accommodations"]
+    assert lake.registered == ["bronze.booking.accommodations", "booking_accommodation_bronze"]
     with pytest.raises(AnalysisException):
         lake.query("SELECT * FROM silver.booking.accommodations")
     refresh.push_booking_silver(spark, base, "2024-01-15T09:00:00")
@@ -125,6 +125,10 @@ def test_lake_registry_snapshots_and_sql(spark, tmp_path):
     assert count("SELECT total_price / 0 FROM bronze.booking.accommodations") is None
     assert spark.conf.get("spark.sql.ansi.enabled") == "true"
     assert lake.table("bronze.booking.accommodations").count() == 2
+    assert count("SELECT count(*) FROM booking_accommodation_bronze") == 2
+    assert DataLake(spark, str(tmp_path / "empty")).registered == []
+    with pytest.raises(AnalysisException):
+        lake.query("SELECT * FROM bronze.booking.accommodations")
 
 
 def test_sql_text_leaves_literals_alone():
