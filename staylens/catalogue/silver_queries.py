@@ -169,7 +169,7 @@ def latest_located_facility(spark, sf_dir):
 def located_listings(spark, sf_dir):
     listings = t.airbnb_bronze(spark, sf_dir).select("facility_id", "scraped_at", "num_adults")
     located = pick.latest_located_facility(t.facility_bronze(spark, sf_dir))
-    return lookup.salted_join(listings, located, ["facility_id"])
+    return lookup.skew_join(listings, located, ["facility_id"])
 
 
 def surrogate_key(spark, sf_dir):

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from staylens import schemas
 from staylens.functions import stay, text
-from staylens.operators.lookup import salted_join
+from staylens.operators.lookup import skew_join
 
 KEYS = ["search_area", "facility_id"]
 # The accepted shapes of the two arguments.
@@ -70,7 +70,7 @@ def alerts(rows: DataFrame, recoveries: DataFrame) -> DataFrame:
         "currency",
         "rating",
     )
-    return salted_join(available, recoveries, [*KEYS, "_at"], "inner").select(*schemas.ALERT.names)
+    return skew_join(available, recoveries, [*KEYS, "_at"], "inner").select(*schemas.ALERT.names)
 
 
 def availability_recovery(bronze: DataFrame, search_area: str, latest_scraped_at: str) -> DataFrame:
@@ -93,7 +93,7 @@ def availability_recovery_all_areas(bronze: DataFrame) -> DataFrame:
     latest = F.max(F.struct("last_seen_at", "first_unavailable_at", "first_available_at"))
     newest = sightings.groupBy("search_area").agg(latest["last_seen_at"].alias("_newest"))
     just_now = sightings.where("first_available_at = last_seen_at")
-    found = salted_join(recovered(just_now), newest, ["search_area"], "inner")
+    found = skew_join(recovered(just_now), newest, ["search_area"], "inner")
     return alerts(bronze, found.where("_at = _newest").drop("_newest"))
 
 

@@ -1,4 +1,8 @@
-"""The analyst questions asked of the lake, as DataFrame plans."""
+"""The analyst questions asked of the lake, as DataFrame plans.
+
+Sorted answers break ties by further columns: the order is repeatable, and rows
+that share one score (or have none) spread over several sort ranges.
+"""
 
 from __future__ import annotations
 
@@ -51,7 +55,7 @@ def facility_detail_for_city(silver: DataFrame, facilities: DataFrame, city: str
 def bargains(silver: DataFrame, below: float = 50.0) -> DataFrame:
     """Cheap stays per adult and night, best quality for money first."""
     return silver.where(F.col("price_per_adult_per_night") < below).orderBy(
-        F.col("quality_price_score").desc_nulls_last()
+        F.col("quality_price_score").desc_nulls_last(), "_pk"
     )
 
 
@@ -67,7 +71,7 @@ def best_near_centre(
         & F.col("is_available")
         & (F.col("price_per_adult_per_night") < below)
         & (F.col("quality_price_score") > min_score)
-    ).orderBy(F.col("distance_from_center_km").asc_nulls_last())
+    ).orderBy(F.col("distance_from_center_km").asc_nulls_last(), "_pk")
 
 
 def _per(units: Column) -> Column:
@@ -118,7 +122,7 @@ def country_scores(bronze: DataFrame, country: str) -> DataFrame:
         )
     )
     return with_min_max_scaled(rated, "quality_score").orderBy(
-        F.col("quality_score").desc_nulls_last()
+        F.col("quality_score").desc_nulls_last(), "search_area", "name", "total_price"
     )
 
 
@@ -153,5 +157,5 @@ def cheapest_available(bronze: DataFrame, search_area: str) -> DataFrame:
             bronze.where((F.col("search_area") == search_area) & F.col("is_available"))
         )
         .select("name", "price_per_night", "rating")
-        .orderBy(F.col("price_per_night").asc_nulls_last())
+        .orderBy(F.col("price_per_night").asc_nulls_last(), "name", "rating")
     )

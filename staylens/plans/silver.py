@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from staylens import schemas
 from staylens.functions import geo, stay, text
 from staylens.operators.coerce import align_to
-from staylens.operators.lookup import checked_lookup, salted_join
+from staylens.operators.lookup import checked_lookup, skew_join
 from staylens.operators.pick import latest_located_facility, latest_per, name_if_unknown
 from staylens.operators.scale import with_min_max_scaled
 
@@ -97,14 +97,19 @@ def booking_silver(bronze: DataFrame) -> DataFrame:
     return _finish(scored, "BOOK", stay.BOOKING_SILVER_CURRENCIES)
 
 
-def with_distance(stays: DataFrame, facilities: DataFrame, city_centres: DataFrame) -> DataFrame:
-    """Add km to the city centre, preferring the facility page's coordinates."""
+def with_distance(
+    stays: DataFrame, facilities: DataFrame, city_centres: DataFrame, bronze: DataFrame
+) -> DataFrame:
+    """Add km to the city centre, preferring the facility page's coordinates.
+
+    ``bronze`` is what ``stays`` was reduced from: its listing counts bound theirs.
+    """
     precise = latest_located_facility(facilities).select(
         "facility_id",
         F.col("latitude").alias("_lat"),
         F.col("longitude").alias("_lon"),
     )
-    placed = salted_join(stays, precise, ["facility_id"])
+    placed = skew_join(stays, precise, ["facility_id"], count_in=bronze)
     centred = checked_lookup(placed, city_centres, ["city", "country"])
     return centred.withColumn(
         "distance_from_center_km",
@@ -142,7 +147,9 @@ def airbnb_silver(bronze: DataFrame, facilities: DataFrame, city_centres: DataFr
         with_price_metrics(stays, F.col("rating") * 2.0), "quality_price_score"
     )
     return _finish(
-        with_distance(scored, facilities, city_centres), "ABNB", stay.AIRBNB_SILVER_CURRENCIES
+        with_distance(scored, facilities, city_centres, bronze),
+        "ABNB",
+        stay.AIRBNB_SILVER_CURRENCIES,
     )
 
 
