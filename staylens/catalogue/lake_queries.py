@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from staylens import schemas
 from staylens.catalogue import tables as t
+from staylens.functions import text
 from staylens.operators.coerce import coerce_to
 from staylens.plans import refresh
 from staylens.session import scratch_path
@@ -125,6 +126,46 @@ def lake_sql(spark, sf_dir):
     return DataLake(spark, base).query(_LAKE_SQL, {"city": "Area1", "below": 400.0})
 
 
+def airbnb_snapshot(spark, sf_dir):
+    """Search results and detail rows landed, pushed with a stored centre table."""
+    base = scratch_path(spark, "airbnb")
+    rows = t.weekly_availability(spark, sf_dir)
+    number = F.regexp_extract("facility_id", r"U-(\d+)", 1).cast("bigint")
+    bronze.append(rows, bronze.AIRBNB, base)
+    detail = rows.groupBy("facility_id", "scraped_at").agg(F.max("total_price").alias("rating"))
+    bronze.append(
+        detail.withColumns(
+            {
+                "latitude": F.when(F.col("rating") < 100, 41 + number % 80 / 10.0),
+                "longitude": 11 + F.month("scraped_at") + F.day("scraped_at") / 10.0,
+            }
+        ),
+        bronze.FACILITY,
+        base,
+    )
+    centres = rows.select(text.city_of(F.col("search_area")).alias("city")).distinct()
+    centres.select(
+        "city",
+        F.lit("Web").alias("country"),
+        (40 + F.substring("city", 5, 1).cast("int") / 2.0).alias("centre_lat"),
+        F.lit(12.5).alias("centre_lon"),
+    ).write.parquet(f"{base}/city_centres")
+    refresh.push_airbnb_silver(
+        spark, base, silver_store.read_centres(spark, f"{base}/city_centres"), "2026-01-01T00:00:00"
+    )
+    newest = silver_store.read_latest(spark, base, silver_store.AIRBNB_FOLDER)
+    return newest.select("_pk", "rating", "price_per_adult_per_night", "distance_from_center_km")
+
+
+_AIRBNB_SNAPSHOT = """detail AS (SELECT facility_id, scraped_at, max(total_price) AS worst FROM weekly GROUP BY ALL),
+located AS (SELECT facility_id, 41 + (CAST(split_part(facility_id, '-', 2) AS BIGINT) % 80) / 10.0::DOUBLE AS lat,
+    11 + 1 + CAST(substr(scraped_at, 9, 2) AS INTEGER) / 10.0::DOUBLE AS lon FROM detail WHERE worst < 100
+  QUALIFY row_number() OVER (PARTITION BY facility_id ORDER BY scraped_at DESC) = 1),
+placed AS (SELECT newest.*, lat, lon,
+    40 + CAST(substr(search_area, 5, 1) AS INTEGER) / 2.0::DOUBLE AS centre_lat, 12.5::DOUBLE AS centre_lon
+  FROM newest LEFT JOIN located USING (facility_id))"""
+
+
 def lake_count(spark, sf_dir):
     base = _land_weekly(spark, sf_dir, "count")
     return DataLake(spark, base).query(
@@ -186,6 +227,14 @@ QUERIES = {
         "SELECT _pk, 'newest' AS scope FROM keys UNION ALL SELECT _pk, 'history' FROM keys "
         "UNION ALL SELECT _pk, 'history' FROM keys",
     ),
+    "airbnb_snapshot": (
+        airbnb_snapshot,
+        f"{t.with_tables('weekly')}, {_NEWEST_STAYS}, {_AIRBNB_SNAPSHOT} SELECT "
+        f"replace({_WEEKLY_PK}, 'BOOK/', 'ABNB/') AS _pk, rating * 2.0 AS rating, "
+        "round(total_price / nullif(2 * num_nights, 0), 2) AS price_per_adult_per_night, "
+        "round(2.0 * 6371.0 * asin(sqrt(power(sin(radians(lat - centre_lat) / 2.0), 2) + cos(radians(centre_lat)) "
+        "* cos(radians(lat)) * power(sin(radians(lon - centre_lon) / 2.0), 2))), 3) AS distance_from_center_km FROM placed",
+    ),
     "lake_sql": (
         lake_sql,
         f"{t.with_tables('weekly')}, {_NEWEST_STAYS} SELECT facility_id, 'Area1' AS city, total_price, "
