@@ -47,6 +47,7 @@ BLOCK_DOCS = 2048
 CHUNK = 8 << 20
 BUCKET_BYTES = 6 << 20
 PAIRS_A_BUCKET = 300
+BROADCAST_PAIRS = 500_000  # two keys each: 8 MB
 LIST_PART = 2048  # a longer list is scanned in pairs of parts
 _EMPTY = np.uint64(0xA0761D6478BD642F)
 
@@ -151,20 +152,47 @@ def signature(values: np.ndarray) -> bytes:
     return np.minimum(np.bincount((values >> np.uint64(5)).astype(np.int64) % n, minlength=n), 255).astype(np.uint8).tobytes()
 
 
+def fold(sign: bytes, n: int) -> np.ndarray:
+    """A signature over ``n`` buckets, fewer than it has or as many."""
+    counts = np.frombuffer(sign, np.uint8).astype(np.int16)
+    return counts if len(counts) == n else np.minimum(counts.reshape(-1, n).sum(0), 255).astype(np.int16)
+
+
+def may_link(a: bytes, b: bytes, na: int, nb: int) -> bool:
+    """Whether the signatures leave room for a link."""
+    n = min(len(a), len(b))
+    return int(np.abs(fold(a, n) - fold(b, n)).sum()) * (100 + PERCENT) <= (100 - PERCENT) * (na + nb)
+
+
 def blocked(docs: DataFrame) -> DataFrame:
     spread = -1 - F.pmod(F.xxhash64("text"), F.lit(4096))
     return docs.select(F.coalesce(F.floor(F.col("doc_id") / BLOCK_DOCS), spread).alias("block"), F.col("doc_id").cast("bigint").alias("doc_id"), "text")
 
 
 def sizes(docs: DataFrame) -> DataFrame:
-    """(doc_id, n, k1, k2) for every row: size and identity of its set."""
+    """(doc_id, n, k1, k2, sig) for every row: size, identity and signature of its set."""
 
     def read(batches) -> Iterator[pa.RecordBatch]:
         for batch in W.chunks(batches, limit=CHUNK):
             s = Sets(*W.raw(batch.column("text")))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(s.size), *(pa.array(s.sums(x).view(np.int64)) for x in (1, 2))], names=["doc_id", "n", "k1", "k2"])
+            signs = [signature(s.value[b : b + n]) for b, n in zip(s.begin.tolist(), s.size.tolist())]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(s.size), *(pa.array(s.sums(x).view(np.int64)) for x in (1, 2)), pa.array(signs, pa.binary())], names=["doc_id", "n", "k1", "k2", "sig"])
+
+    return docs.select("doc_id", "text").mapInArrow(read, "doc_id bigint, n bigint, k1 bigint, k2 bigint, sig binary")
+
+
+def possible(pairs: DataFrame, signs: DataFrame) -> DataFrame:
+    """The ``pairs`` (a, b) that signatures (doc, size, sig) do not rule out."""
+
+    def read(batches) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            na, nb = batch.column("na").to_pylist(), batch.column("nb").to_pylist()
+            keep = [may_link(*x) for x in zip(batch.column("sa").to_pylist(), batch.column("sb").to_pylist(), na, nb)]
+            yield batch.filter(pa.array(keep, pa.bool_())).select(["a", "b"])
 
-    return docs.select("doc_id", "text").mapInArrow(read, "doc_id bigint, n bigint, k1 bigint, k2 bigint")
+    both = pairs.join(signs.select(F.col("doc").alias("a"), F.col("size").alias("na"), F.col("sig").alias("sa")), "a")
+    both = both.join(signs.select(F.col("doc").alias("b"), F.col("size").alias("nb"), F.col("sig").alias("sb")), "b")
+    return both.mapInArrow(read, "a bigint, b bigint")
 
 
 def lists(docs: DataFrame, buckets: int) -> DataFrame:
@@ -201,12 +229,16 @@ def lists(docs: DataFrame, buckets: int) -> DataFrame:
 
 
 def compare(spark: SparkSession, docs: DataFrame, pairs: DataFrame) -> DataFrame:
-    """(a, b, na, nb, both, sig): exact intersections of the stored ``pairs`` (a, b), with b's signature; each a also with itself.
+    """(a, b, na, nb, both): exact intersections of the stored ``pairs`` (a, b); each a also with itself.
 
-    Sets of b travel to those of a; an a with very many partners is split and its set repeated.
+    Only texts in a pair travel; then sets of b go to those of a, and an a with very
+    many partners is split and its set repeated.
     """
     counts = pairs.groupBy("a").agg(F.count("*").alias("n")).select("a", F.ceil(F.col("n") / PAIRS_A_BUCKET).cast("int").alias("salts"))
-    buckets = max(32, pairs.count() // PAIRS_A_BUCKET + 1)
+    n_pairs = pairs.count()
+    buckets = max(32, n_pairs // PAIRS_A_BUCKET + 1)
+    ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
+    docs = docs.join(F.broadcast(ids) if n_pairs <= BROADCAST_PAIRS else ids, "doc_id", "left_semi")
     salted = pairs.join(counts, "a").withColumn("salt", F.pmod(F.xxhash64("b"), F.col("salts")).cast("int"))
     wants = salted.select(F.col("b").alias("doc"), "a", "salt").unionByName(counts.select(F.col("a").alias("doc"), "a", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt")))
     wants = wants.select(F.floor(F.col("doc") / BLOCK_DOCS).alias("block"), "doc", "a", F.pmod(F.xxhash64("a", "salt"), F.lit(buckets)).alias("bucket"), "salt")
@@ -249,9 +281,9 @@ def compare(spark: SparkSession, docs: DataFrame, pairs: DataFrame) -> DataFrame
             for i in range(lo, hi):
                 at = np.minimum(np.searchsorted(own, values[i]), len(own) - 1)
                 both[i] = np.count_nonzero(own[at] == values[i])
-        return pa.table({"a": a, "b": doc, "na": na, "nb": np.array([len(v) for v in values], np.int64), "both": both, "sig": pa.array([signature(v) for v in values], pa.binary())})
+        return pa.table({"a": a, "b": doc, "na": na, "nb": np.array([len(v) for v in values], np.int64), "both": both})
 
-    return sets.groupBy("bucket").applyInArrow(meet, "a bigint, b bigint, na bigint, nb bigint, both bigint, sig binary")
+    return sets.groupBy("bucket").applyInArrow(meet, "a bigint, b bigint, na bigint, nb bigint, both bigint")
 
 
 def linked(found: DataFrame) -> DataFrame:
@@ -280,7 +312,9 @@ def scan(entries: DataFrame) -> DataFrame:
                 continue
             d, size, lab, led = doc[lo:hi], n[lo:hi], label[lo:hi], lead[lo:hi]
             stop = np.searchsorted(size, size * 100 // PERCENT, side="right")  # sizes ascend: partners of i end at stop[i]
-            table_of: dict[int, np.ndarray] = {}
+            signs = sig[lo:hi]
+            least = min(map(len, signs))
+            rough = np.stack([fold(x, least) for x in signs])
             for i in range(hi - lo - 1):
                 j = np.arange(i + 1, stop[i])
                 j = j[(lab[j] != lab[i]) & (led[j] != d[i]) & (d[j] != led[i])]
@@ -288,17 +322,9 @@ def scan(entries: DataFrame) -> DataFrame:
                     j = j[mine[lo + j] != mine[lo + i]]
                 if not len(j):
                     continue
-                own = np.frombuffer(sig[lo + i], np.uint8).astype(np.int16)
-                for k in j.tolist():
-                    theirs = table_of.get(k)
-                    if theirs is None:
-                        theirs = table_of[k] = np.frombuffer(sig[lo + k], np.uint8).astype(np.int16)
-                    a, b = own, theirs
-                    if len(a) < len(b):
-                        b = b.reshape(-1, len(a)).sum(0)
-                    elif len(b) < len(a):
-                        a = a.reshape(-1, len(b)).sum(0)
-                    if int(np.abs(a - b).sum()) * (100 + PERCENT) <= (100 - PERCENT) * int(size[i] + size[k]):
+                differ = np.abs(rough[j] - rough[i]).sum(1, dtype=np.int64)
+                for k in j[differ * (100 + PERCENT) <= (100 - PERCENT) * (size[j] + size[i])].tolist():
+                    if may_link(signs[i], signs[k], int(size[i]), int(size[k])):
                         left.append(min(d[i], d[k]))
                         right.append(max(d[i], d[k]))
         return pa.table({"a": pa.array(left, pa.int64()), "b": pa.array(right, pa.int64())})
@@ -310,7 +336,7 @@ def grouped(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """(doc_id, n, component_id) for every row of ``docs`` (doc_id, text)."""
     docs = blocked(docs)
     text_bytes = docs.agg(F.sum(F.octet_length("text")).alias("b")).first()["b"] or 0
-    rows = stored(spark, sizes(docs), "set-sizes")
+    rows = stored(spark, sizes(docs), "set-sizes")  # with signatures: about a twentieth of the text
     some = rows.where("n > 0 AND doc_id IS NOT NULL")
     classes = some.groupBy("n", "k1", "k2").agg(F.min("doc_id").alias("rep"), F.max("doc_id").alias("last"))
     copies = stored(spark, some.join(classes.where("rep < last"), ["n", "k1", "k2"]).select("doc_id", "rep").distinct(), "set-copies")
@@ -323,24 +349,18 @@ def grouped(spark: SparkSession, docs: DataFrame) -> DataFrame:
     leads = entries.groupBy("list", "band").agg(F.min("doc").alias("lead"))
     total = entries.groupBy("list").agg(F.count("*").alias("m")).where("m > 1")
     entries = stored(spark, entries.join(leads, ["list", "band"]).join(total, "list"), "set-leads")
-    stars = stored(spark, entries.where("doc <> lead").select(F.col("lead").alias("a"), F.col("doc").alias("b")).distinct(), "set-stars")
-    found = stored(spark, compare(spark, docs, stars), "set-compared")
-    labels = components(spark, linked(found))
+    signs = some.groupBy(F.col("doc_id").alias("doc")).agg(F.max(F.struct("n", "sig")).alias("s")).select("doc", F.col("s.n").alias("size"), "s.sig")
+    stars = entries.where("doc <> lead").select(F.col("lead").alias("a"), F.col("doc").alias("b")).distinct()
+    stars = stored(spark, possible(stars, signs), "set-stars")
+    found = stored(spark, linked(compare(spark, docs, stars)), "set-links")
+    labels = components(spark, found)
     # Lists that hold several components still.
     named = entries.join(labels, F.col("doc") == F.col("node"), "left").withColumn("label", F.coalesce("label", "doc")).drop("node")
     named = stored(spark, named, "set-labels")
     mixed = named.groupBy("list").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("list")
-    signs = found.groupBy(F.col("b").alias("doc")).agg(F.max("sig").alias("sig"))
-    lone = named.join(mixed, "list").join(signs, "doc", "left")
-    # A document that is alone in its band everywhere has no signature yet: it is compared with what its lists hold.
-    lone = stored(spark, lone, "set-mixed")
-    without = lone.where("sig IS NULL").select(F.col("doc").alias("a"), F.col("doc").alias("b")).distinct()
-    own = stored(spark, compare(spark, docs, stored(spark, without, "set-single")), "set-signs") if not without.isEmpty() else None
-    if own is not None:
-        lone = lone.join(own.groupBy(F.col("b").alias("doc")).agg(F.max("sig").alias("sig2")), "doc", "left").withColumn("sig", F.coalesce("sig", "sig2"))
-    rest = stored(spark, scan(lone.where("sig IS NOT NULL")), "set-rest")
+    rest = stored(spark, scan(stored(spark, named.join(mixed, "list").join(signs.drop("size"), "doc"), "set-mixed")), "set-rest")
     more = linked(compare(spark, docs, rest))
-    edges = linked(found).union(more).union(copies.select(F.col("rep").alias("a"), F.col("doc_id").alias("b")))
+    edges = found.union(more).union(copies.select(F.col("rep").alias("a"), F.col("doc_id").alias("b")))
     final = components(spark, edges)
     return rows.join(final, F.col("doc_id") == F.col("node"), "left").select("doc_id", "n", F.coalesce("label", "doc_id").alias("component_id"))
 
