@@ -106,7 +106,7 @@ def encode(spark: SparkSession, docs: DataFrame, pieces: Pieces | None = None) -
     docs = docs.select(F.coalesce(F.floor(F.col("doc_id") / BLOCK_DOCS), spread).alias("block"), "doc_id", "text")
 
     def listed(batches) -> Iterator[pa.RecordBatch]:
-        for batch in W.chunks(batches, limit=12 << 20):
+        for batch in W.chunks(batches, limit=6 << 20):
             held: dict[int, set[str]] = {}
             for block, text in zip(batch.column("block").to_pylist(), batch.column("text")):
                 held.setdefault(block, set()).update(units(text.as_py()))
