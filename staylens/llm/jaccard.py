@@ -148,7 +148,7 @@ class Sets:
 
 def signature(values: np.ndarray) -> bytes:
     """Counts of a set's hashes by bucket; two sets differ by the sum of count differences at least."""
-    n = max(16, 2 ** (len(values).bit_length() - 1) // 2)
+    n = max(16, 2 ** len(values).bit_length())
     return np.minimum(np.bincount((values >> np.uint64(5)).astype(np.int64) % n, minlength=n), 255).astype(np.uint8).tobytes()
 
 
@@ -327,7 +327,8 @@ def scan(entries: DataFrame) -> DataFrame:
                     if may_link(signs[i], signs[k], int(size[i]), int(size[k])):
                         left.append(min(d[i], d[k]))
                         right.append(max(d[i], d[k]))
-        return pa.table({"a": pa.array(left, pa.int64()), "b": pa.array(right, pa.int64())})
+        pairs = np.unique(np.array([left, right], np.int64).T.reshape(-1, 2), axis=0)
+        return pa.table({"a": pairs[:, 0].copy(), "b": pairs[:, 1].copy()})
 
     return rows.withColumn("bucket", buckets).groupBy("bucket").applyInArrow(meet, "a bigint, b bigint").distinct()
 
@@ -336,7 +337,7 @@ def grouped(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """(doc_id, n, component_id) for every row of ``docs`` (doc_id, text)."""
     docs = blocked(docs)
     text_bytes = docs.agg(F.sum(F.octet_length("text")).alias("b")).first()["b"] or 0
-    rows = stored(spark, sizes(docs), "set-sizes")  # with signatures: about a twentieth of the text
+    rows = stored(spark, sizes(docs), "set-sizes")  # with signatures: a byte for each hash bucket, most of them 0 or 1
     some = rows.where("n > 0 AND doc_id IS NOT NULL")
     classes = some.groupBy("n", "k1", "k2").agg(F.min("doc_id").alias("rep"), F.max("doc_id").alias("last"))
     copies = stored(spark, some.join(classes.where("rep < last"), ["n", "k1", "k2"]).select("doc_id", "rep").distinct(), "set-copies")
