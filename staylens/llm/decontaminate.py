@@ -155,28 +155,28 @@ def contamination(spark: SparkSession, docs: DataFrame, items: DataFrame) -> Dat
     )
 
 
-def _with_hits(spark: SparkSession, docs: DataFrame, items: DataFrame, how: str, extra=()) -> DataFrame:
-    hits = contamination(spark, docs, items).withColumnsRenamed({"doc_id": "hit_id", "text_key": "hit_key", "items": "hit_items"})
-    left = docs.withColumn("text_key", F.xxhash64("text"))
-    left = left.select("doc_id", "text_key", *extra) if extra else left
-    return left.join(hits, (F.col("text_key") == F.col("hit_key")) & F.col("doc_id").eqNullSafe(F.col("hit_id")), how)
+def _with_hits(spark: SparkSession, docs: DataFrame, items: DataFrame, how: str, kept: Column) -> DataFrame:
+    """Every row of ``docs`` as (row_id, row_key, kept), joined to its hits."""
+    hits = contamination(spark, docs, items)
+    left = docs.select(F.col("doc_id").alias("row_id"), F.xxhash64("text").alias("row_key"), kept.alias("kept"))
+    return left.join(hits, (F.col("row_key") == F.col("text_key")) & F.col("row_id").eqNullSafe(F.col("doc_id")), how)
 
 
 def uncontaminated(spark: SparkSession, docs: DataFrame, items: DataFrame) -> DataFrame:
     """The rows of ``docs`` that share no window with any item, with all their columns."""
-    return _with_hits(spark, docs, items, "left_anti").select(*docs.columns)
+    return _with_hits(spark, docs, items, "left_anti", F.struct(*docs.columns)).select("kept.*")
 
 
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     configure(spark)
     docs = documents(spark, sf_dir).select("doc_id", "text")
-    rows = _with_hits(spark, docs, documents(spark, sf_dir, "benchmark"), "left", [F.size(word_list(F.col("text"))).cast("long").alias("n_words")])
-    items = F.coalesce("hit_items", F.array().cast("array<string>"))
-    n_hit = F.coalesce(F.size("hit"), F.lit(0)).cast("long")
+    n_words = F.size(word_list(F.col("text"))).cast("long")
+    rows = _with_hits(spark, docs, documents(spark, sf_dir, "benchmark"), "left", n_words)
+    items = F.coalesce("items", F.array().cast("array<string>"))
     return rows.select(
-        "doc_id",
-        "n_words",
-        F.when(F.col("hit").isNull(), F.lit(0)).otherwise(n_hit).cast("long").alias("n_hit"),
+        F.col("row_id").alias("doc_id"),
+        F.col("kept").alias("n_words"),
+        F.when(F.col("hit").isNull(), 0).otherwise(F.size("hit")).cast("long").alias("n_hit"),
         F.size(items).cast("long").alias("n_items"),
         F.sha2(F.array_join(items, ",").cast("binary"), 256).alias("items_sha256"),
         F.col("hit").isNotNull().alias("contaminated"),

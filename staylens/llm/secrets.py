@@ -124,9 +124,10 @@ def masked(spark: SparkSession, docs: DataFrame, ledger_path: str, mark: str = "
     spans become one mark.
     """
     found = scan(spark, docs, ledger_path).where(F.size("spans") > 0).select("path", "blob", "spans").dropDuplicates(["path", "blob"])
-    body = F.col("text")
-    rows = docs.withColumn("_blob", F.unhex(F.sha2(F.coalesce(body, F.lit("")).cast("binary"), 256)))
-    joined = rows.join(found, rows["doc_id"].eqNullSafe(found["path"]) & (F.col("_blob") == found["blob"]), "left")
+    body = F.col("row.text")
+    rows = docs.select(F.struct(*docs.columns).alias("row"))  # keeps its columns apart from those of the findings
+    rows = rows.withColumn("row_blob", F.unhex(F.sha2(F.coalesce(body, F.lit("")).cast("binary"), 256)))
+    joined = rows.join(found, F.col("row.doc_id").eqNullSafe(F.col("path")) & (F.col("row_blob") == F.col("blob")), "left")
     start = F.struct(F.lit("").alias("out"), F.lit(0).cast("long").alias("at"))
     one = F.lit(1).cast("int")
 
@@ -141,8 +142,8 @@ def masked(spark: SparkSession, docs: DataFrame, ledger_path: str, mark: str = "
         "spans", start, cut, lambda acc: F.concat(acc["out"], F.substring(body, (acc["at"] + one).cast("int"), F.lit(2**31 - 1)))
     )
     clean = F.when(F.col("spans").isNull(), body).otherwise(clean)
-    columns = [F.col(c) if c not in ("text", "n_chars") else (clean if c == "text" else F.coalesce(F.length(clean), F.lit(0)).cast(docs.schema[c].dataType)).alias(c) for c in docs.columns]
-    return joined.select(*columns)
+    new = {"text": clean, "n_chars": F.coalesce(F.length(clean), F.lit(0))}
+    return joined.select(*[(new[c].cast(docs.schema[c].dataType) if c in new else F.col(f"row.`{c}`")).alias(c) for c in docs.columns])
 
 
 def _of_kinds(*kinds: str):
