@@ -31,7 +31,7 @@ from staylens.session import configure, scratch_path
 FREQUENT, SUFFIXES, CLASSES, ROUNDS = 4096, 1024, 48, 8
 SUFFIX_BYTES = 4
 BLOCK_DOCS = 2048
-COUNT_BYTES = 6 << 20
+COUNT_BYTES = 4 << 20
 FOLDS, HELD = 5, 1
 TRANSITION_WEIGHT = 20.0
 END = FREQUENT + SUFFIXES  # the item of the end token; its class is the last one

@@ -44,7 +44,7 @@ SHINGLE = 4
 PERCENT = 85
 LIST_COST = 4  # what a list entry costs next to an enumerated subset: its list still has to be compared
 BLOCK_DOCS = 2048
-CHUNK = 3 << 20
+CHUNK = 2 << 20
 BUCKET_BYTES = 6 << 20
 PAIRS_A_BUCKET = 300
 BROADCAST_PAIRS = 500_000  # two keys each: 8 MB

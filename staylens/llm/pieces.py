@@ -70,17 +70,13 @@ class Pieces:
 
 def solve(words: DataFrame, pieces: Pieces, table: DataFrame) -> DataFrame:
     """(unit, ids) for the distinct units in ``words`` (unit)."""
-    lattice = F.translate("unit", " " + SPACE, SPACE + OWN)
     size = F.char_length("unit")
 
-    def substrings(s):
-        return F.transform(
-            F.sequence(F.lit(1), F.least(F.lit(pieces.longest), size - s)),
-            lambda n: F.struct(s.alias("s"), (s + n).alias("e"), F.substring(F.col("lattice"), s + 1, n).alias("piece")),
-        )
-
-    edges = words.distinct().withColumn("lattice", lattice).select("unit", F.explode(F.flatten(F.transform(F.sequence(F.lit(0), size - 1), substrings))).alias("x"))
-    joined = edges.select("unit", "x.s", "x.e", "x.piece").join(table, "piece", "left").where("id IS NOT NULL OR e = s + 1")
+    # One explode for the start and one for the end: both run in generated code.
+    edges = words.distinct().withColumn("lattice", F.translate("unit", " " + SPACE, SPACE + OWN)).withColumn("s", F.explode(F.sequence(F.lit(0), size - 1)))
+    edges = edges.withColumn("e", F.explode(F.sequence(F.col("s") + 1, F.least(F.col("s") + pieces.longest, size))))
+    edges = edges.select("unit", "s", "e", F.substring("lattice", F.col("s") + 1, F.col("e") - F.col("s")).alias("piece"))
+    joined = edges.join(table, "piece", "left").where("id IS NOT NULL OR e = s + 1")
     spelled = F.hex(F.encode(F.substring("unit", F.col("s") + 1, F.lit(1)), "UTF-8"))
     as_bytes = F.transform(
         F.sequence(F.lit(0), (F.octet_length(spelled) / 2).cast("int") - 1),
@@ -90,12 +86,15 @@ def solve(words: DataFrame, pieces: Pieces, table: DataFrame) -> DataFrame:
     grouped = joined.groupBy("unit").agg(F.collect_list(F.struct("e", "s", F.coalesce("score", F.lit(pieces.worst)).alias("score"), ids.alias("ids"))).alias("edges"))
     start = F.array(F.struct(F.lit(0.0).alias("score"), F.array().cast("array<int>").alias("ids")))
 
-    def step(best, end):
-        reach = F.transform(F.filter("edges", lambda x: x["e"] == end), lambda x: F.struct((F.element_at(best, x["s"] + 1)["score"] + x["score"]).alias("score"), x["s"].alias("s"), x["ids"].alias("ids")))
-        top = F.transform(F.array(F.array_max(reach)), lambda t: F.struct(t["score"].alias("score"), F.concat(F.element_at(best, t["s"] + 1)["ids"], t["ids"]).alias("ids")))
-        return F.concat(best, top)
+    def step(best, x):
+        """``best`` holds the best path to each end so far; ends rise, so a path to a new end is appended."""
+        source = F.element_at(best, x["s"] + 1)
+        path = F.struct((source["score"] + x["score"]).alias("score"), F.concat(source["ids"], x["ids"]).alias("ids"))
+        return F.when(F.size(best) <= x["e"], F.concat(best, F.array(path))).when(
+            F.element_at(best, -1)["score"] <= source["score"] + x["score"], F.concat(F.slice(best, F.lit(1), x["e"]), F.array(path))
+        ).otherwise(best)
 
-    path = F.aggregate(F.sequence(F.lit(1), F.char_length("unit")), start, step, lambda best: F.element_at(best, -1)["ids"])
+    path = F.aggregate(F.array_sort("edges"), start, step, lambda best: F.element_at(best, -1)["ids"])
     return grouped.select("unit", path.alias("ids"))
 
 
@@ -106,7 +105,7 @@ def encode(spark: SparkSession, docs: DataFrame, pieces: Pieces | None = None) -
     docs = docs.select(F.coalesce(F.floor(F.col("doc_id") / BLOCK_DOCS), spread).alias("block"), "doc_id", "text")
 
     def listed(batches) -> Iterator[pa.RecordBatch]:
-        for batch in W.chunks(batches, limit=6 << 20):
+        for batch in W.chunks(batches, limit=3 << 20):
             held: dict[int, set[str]] = {}
             for block, text in zip(batch.column("block").to_pylist(), batch.column("text")):
                 held.setdefault(block, set()).update(units(text.as_py()))
@@ -115,9 +114,9 @@ def encode(spark: SparkSession, docs: DataFrame, pieces: Pieces | None = None) -
                     part = names[at : at + 50_000]
                     yield pa.RecordBatch.from_arrays([pa.array([block] * len(part), pa.int64()), pa.array(part, pa.string())], names=["block", "unit"])
 
-    named = docs.select("block", "text").mapInArrow(listed, "block bigint, unit string")
+    named = stored(spark, docs.select("block", "text").mapInArrow(listed, "block bigint, unit string"), "unit-lists")
     solved = stored(spark, solve(named.select("unit"), pieces, pieces.table(spark)), "units")
-    answers = named.distinct().join(solved, "unit").select("block", "unit", "ids")
+    answers = named.join(solved, "unit").select("block", "unit", "ids")
     back = pieces.bytes_of()
     kinds = pa.schema([("doc_id", pa.int64()), ("n_ids", pa.int64()), ("ids", pa.list_(pa.int32())), ("round_trip", pa.bool_())])
 

@@ -33,7 +33,7 @@ from staylens.session import configure
 
 WINDOW, MINIMISER = 13, 3
 BLOCK_DOCS = 2048
-CHUNK = 5 << 20
+CHUNK = 4 << 20
 BUCKET_BYTES = 6 << 20  # text a bucket stands for
 HOT_SAMPLE_BLOCKS, HOT_SHARE, HOT_LIMIT = 16, 1 / 500, 500
 NO_KEY = np.iinfo(np.int64).max

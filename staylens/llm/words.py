@@ -15,8 +15,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-CHUNK_BYTES = 4 << 20
-BLOCK_BYTES = 1 << 20
+CHUNK_BYTES = 3 << 19
+BLOCK_BYTES = 1 << 19
 
 # Separators of the word pattern [^\x20\x09-\x0D]+.
 SOLID = np.ones(256, bool)
