@@ -185,11 +185,11 @@ def stream_landing(spark, sf_dir):
 
 
 def stream_availability_recovery(spark, sf_dir):
-    """Alerts raised by a stream over the whole history."""
+    """Alerts raised by a stream over the whole history, which arrives shuffled and file by file."""
     base = scratch_path(spark, "stream-recovery")
-    t.weekly_availability(spark, sf_dir).write.parquet(f"{base}/raw")
+    t.weekly_availability(spark, sf_dir).repartition(4, "scraped_at", "facility_id").write.parquet(f"{base}/raw")
     schema = spark.read.parquet(f"{base}/raw").schema
-    rows = landing.raw_stream(spark, f"{base}/raw", schema)
+    rows = landing.raw_stream(spark, f"{base}/raw", schema, files_per_batch=1)
     stream_recovery.start_recovery(rows, f"{base}/out", f"{base}/checkpoint").awaitTermination()
     return stream_recovery.read_alerts(spark, f"{base}/out")
 

@@ -152,7 +152,7 @@ def haversine_centre(spark, sf_dir):
         text.city_of(F.col("search_area")).alias("city"),
         text.country_of(F.col("search_area")).alias("country"),
     )
-    centred = lookup.checked_lookup(placed, t.city_centres(spark, sf_dir), ["city", "country"])
+    centred = lookup.skew_join(placed, t.city_centres(spark, sf_dir), ["city", "country"])
     return centred.select(
         "facility_id",
         "city",

@@ -7,13 +7,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def _whole_number(value: Column) -> Column:
+def _whole_number(value: Column, source: T.DataType) -> Column:
     """Integers as they are, whole decimals ("3.0") too, anything else NULL."""
     as_double = value.try_cast("double")
-    return F.coalesce(
-        value.try_cast("bigint"),
-        F.when(as_double == F.floor(as_double), as_double.try_cast("bigint")),
-    )
+    whole = F.when(as_double == F.floor(as_double), as_double.try_cast("bigint"))
+    if isinstance(source, (T.FractionalType, T.DecimalType)):  # a cast would cut 3.7 to 3
+        return whole
+    return F.coalesce(value.try_cast("bigint"), whole)
 
 
 def _real_number(value: Column) -> Column:
@@ -27,7 +27,7 @@ def coerce_column(value: Column, source: T.DataType, target: T.DataType) -> Colu
         return F.coalesce(value.try_cast("boolean"), F.lit(False))
     if isinstance(target, T.LongType):
         exact = isinstance(source, (T.LongType, T.IntegerType, T.ShortType, T.ByteType))
-        return value.cast("bigint") if exact else _whole_number(value)
+        return value.cast("bigint") if exact else _whole_number(value, source)
     if isinstance(target, T.DoubleType):
         return _real_number(value)
     return value.cast(target)

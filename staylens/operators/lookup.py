@@ -5,16 +5,9 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-# A lookup of this many narrow rows stays within a few MB on every executor.
+# A work list of this many narrow rows stays within a few MB on every executor.
 BROADCAST_ROWS = 50_000
-# Below this much stored input even a third of all rows fits one task.
-SMALL_INPUT = 1 << 30
-# A key with more rows than this is split over several tasks.
-ROWS_PER_TASK = 2_000_000
-# The heaviest keys only: any other key then holds less than 1/HEAVY_KEYS of the rows.
-HEAVY_KEYS = 2_000
 
 
 def fits_broadcast(table: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
@@ -22,76 +15,12 @@ def fits_broadcast(table: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
     return table.limit(max_rows + 1).count() <= max_rows
 
 
-def input_bytes(frame: DataFrame) -> int:
-    """Stored size of everything a plan reads; huge where Spark does not know it."""
-    leaves = frame._jdf.queryExecution().optimizedPlan().collectLeaves()
-    sizes = [leaves.apply(i).stats().sizeInBytes() for i in range(leaves.size())]
-    return sum(int(str(size)) for size in sizes)
+def skew_join(rows: DataFrame, lookup: DataFrame, on: Sequence[str], how: str = "left") -> DataFrame:
+    """Join ``rows`` to a lookup (``left`` or ``inner``); one plan at every size.
 
-
-def heavy_keys(
-    rows: DataFrame, on: Sequence[str], rows_per_task: int = ROWS_PER_TASK
-) -> DataFrame:
-    """Keys too large for one task and the number of tasks each needs.
-
-    A count with partial results per task over the key columns alone; at most
-    ``HEAVY_KEYS`` rows come out, so the result can be broadcast.
-    """
-    keyed = rows.where(" AND ".join(f"`{name}` IS NOT NULL" for name in on))
-    counted = keyed.groupBy(*on).agg(F.count("*").alias("_rows"))
-    return (
-        counted.where(F.col("_rows") > rows_per_task)
-        .orderBy(F.col("_rows").desc(), *on)
-        .limit(HEAVY_KEYS)
-        .select(*on, F.ceil(F.col("_rows") / rows_per_task).cast("int").alias("_salts"))
-    )
-
-
-def skew_join(
-    rows: DataFrame,
-    lookup: DataFrame,
-    on: Sequence[str],
-    how: str = "left",
-    rows_per_task: int = ROWS_PER_TASK,
-    count_in: DataFrame | None = None,
-    small_input: int = SMALL_INPUT,
-) -> DataFrame:
-    """Shuffle join (``left`` or ``inner``) that splits the heavy keys of ``rows``.
-
-    Rows of a heavy key get a salt, a hash of the row itself, so a recomputed
-    task reproduces it; the one lookup row of that key is repeated per salt.
-    All other rows and keys pass once, and rows without a key spread freely.
-    When the lookup turns out small, adaptive execution replaces the shuffle by
-    a broadcast. ``count_in`` is a cheaper frame to count the keys in, such as
-    the table that ``rows`` was reduced from. Input below ``small_input`` bytes
-    is joined as it is.
+    The plan is chosen on measured shuffle sizes while it runs: a lookup that turns
+    out small is broadcast, and a partition that a heavy key (or many rows without
+    a key) makes large is split over several tasks, each reading the lookup rows
+    of that partition. ``staylens.session.REQUIRED_CONF`` turns both on.
     """
-    if input_bytes(rows) < small_input:
-        return rows.join(lookup, list(on), how)
-    others = [F.col(f"`{name}`") for name in rows.columns if name not in on]
-    heavy = F.broadcast(heavy_keys(rows if count_in is None else count_in, on, rows_per_task))
-    salts = F.coalesce("_salts", F.lit(1))
-    keyless = F.lit(False)
-    for name in on:
-        keyless = keyless | F.col(f"`{name}`").isNull()
-    salted = rows.join(heavy, list(on), "left").withColumn(
-        "_salt",
-        F.pmod(F.xxhash64(*others), F.when(keyless, HEAVY_KEYS).otherwise(salts)).cast("int"),
-    )
-    repeated = lookup.join(heavy, list(on), "left").withColumn(
-        "_salt", F.explode(F.sequence(F.lit(0), salts - 1))
-    )
-    return salted.drop("_salts").join(repeated.drop("_salts"), [*on, "_salt"], how).drop("_salt")
-
-
-def checked_lookup(
-    rows: DataFrame,
-    lookup: DataFrame,
-    on: Sequence[str],
-    how: str = "left",
-    max_rows: int = BROADCAST_ROWS,
-) -> DataFrame:
-    """Broadcast a stored dimension after counting it, shuffle and split beyond."""
-    if fits_broadcast(lookup, max_rows):
-        return rows.join(F.broadcast(lookup), list(on), how)
-    return skew_join(rows, lookup, on, how)
+    return rows.join(lookup, list(on), how)

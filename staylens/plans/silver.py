@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from staylens import schemas
 from staylens.functions import geo, stay, text
 from staylens.operators.coerce import align_to
-from staylens.operators.lookup import checked_lookup, skew_join
+from staylens.operators.lookup import skew_join
 from staylens.operators.pick import latest_located_facility, latest_per, name_if_unknown
 from staylens.operators.scale import with_min_max_scaled
 
@@ -109,8 +109,8 @@ def with_distance(
         F.col("latitude").alias("_lat"),
         F.col("longitude").alias("_lon"),
     )
-    placed = skew_join(stays, precise, ["facility_id"], count_in=bronze)
-    centred = checked_lookup(placed, city_centres, ["city", "country"])
+    placed = skew_join(stays, precise, ["facility_id"])
+    centred = skew_join(placed, city_centres, ["city", "country"])
     return centred.withColumn(
         "distance_from_center_km",
         geo.haversine_km(

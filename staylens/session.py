@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -17,6 +18,8 @@ REQUIRED_CONF = {
     # Re-plan on measured shuffle sizes: coalescing, broadcast, skew splits.
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Split a heavy key even where that costs another shuffle further up.
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     # A page can be megabytes of text: keep few of them in one Arrow batch.
     "spark.sql.execution.arrow.maxRecordsPerBatch": "64",
 }
@@ -56,7 +59,7 @@ def shared_folder(spark: SparkSession) -> str:
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
     folder = tempfile.mkdtemp(prefix="staylens-")
     spark.conf.set("spark.checkpoint.dir", folder)

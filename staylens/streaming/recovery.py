@@ -1,10 +1,12 @@
 """Streaming alerts: listings seen unavailable first and available now.
 
-A listing needs two facts only, the first time it was seen unavailable and the
-first time it was seen available. Both are minima, so micro-batches may cut a run
-anywhere and a hot listing shrinks to one row per task before the shuffle. The
-facts live in a Parquet table with one version per micro-batch; a replayed
-batch starts from the previous version and rewrites its own results.
+A listing needs two facts, the first time it was seen unavailable and the first
+time it was seen available, and the rows of that first available scrape. Facts are
+minima, so micro-batches may cut a run anywhere and a hot listing shrinks to one
+row per task before the shuffle. Every micro-batch writes facts, candidate rows and
+the whole current answer as new versions: a late row may raise an alert for a row
+that came before it, or withdraw one. A replayed batch starts from the version
+before and rewrites its own.
 """
 
 from __future__ import annotations
@@ -46,20 +48,29 @@ def _epochs(spark: SparkSession, folder: str) -> list[int]:
 def start_recovery(rows: DataFrame, folder: str, checkpoint: str) -> StreamingQuery:
     """Process everything that has arrived; alerts collect below ``folder``."""
     spark = rows.sparkSession
-    states, raised = f"{folder}/state", f"{folder}/alerts"
+    states, candidates, raised = (f"{folder}/{kind}" for kind in ("state", "candidates", "alerts"))
 
     def step(batch: DataFrame, epoch: int) -> None:
         done = [e for e in _epochs(spark, states) if e < epoch]
-        seen = first_sightings(batch)
+        seen, available = first_sightings(batch), batch.where("is_available")
         if done:
             stored = spark.read.schema(STATE).parquet(f"{states}/epoch={done[-1]}")
             seen = merged(stored, seen)
-        state_path = f"{states}/epoch={epoch}"
-        seen.write.mode("overwrite").parquet(state_path)
-        current = spark.read.schema(STATE).parquet(state_path)
-        alerts(batch, recovered(current)).write.mode("overwrite").parquet(f"{raised}/epoch={epoch}")
+            available = spark.read.schema(batch.schema).parquet(f"{candidates}/epoch={done[-1]}").unionByName(available)
+        # Answer and candidates first: an epoch counts as done once its state is there.
+        seen.write.mode("overwrite").parquet(f"{folder}/next/epoch={epoch}")
+        current = spark.read.schema(STATE).parquet(f"{folder}/next/epoch={epoch}")
+        first = current.select(*KEYS, F.col("first_available_at").alias("_at"))
+        rows_at = available.withColumn("_at", F.col("scraped_at").try_cast("timestamp"))
+        kept = rows_at.join(first, [*KEYS, "_at"], "left_semi").select(*batch.columns)
+        kept.write.mode("overwrite").parquet(f"{candidates}/epoch={epoch}")
+        kept = spark.read.schema(batch.schema).parquet(f"{candidates}/epoch={epoch}")
+        alerts(kept, recovered(current)).write.mode("overwrite").parquet(f"{raised}/epoch={epoch}")
+        current.write.mode("overwrite").parquet(f"{states}/epoch={epoch}")
+        storage.delete(spark, f"{folder}/next/epoch={epoch}")
         for old in done[:-1]:
-            storage.delete(spark, f"{states}/epoch={old}")
+            for kind in (candidates, raised, states):
+                storage.delete(spark, f"{kind}/epoch={old}")
 
     return (
         rows.writeStream.foreachBatch(step)
@@ -70,6 +81,8 @@ def start_recovery(rows: DataFrame, folder: str, checkpoint: str) -> StreamingQu
 
 
 def read_alerts(spark: SparkSession, folder: str) -> DataFrame:
-    return spark.read.schema(schemas.ALERT).parquet(f"{folder}/alerts").select(
-        *schemas.ALERT.names
-    )
+    """The newest complete answer; empty before the first micro-batch."""
+    done = _epochs(spark, f"{folder}/state")
+    if not done:
+        return spark.createDataFrame([], schemas.ALERT)
+    return spark.read.schema(schemas.ALERT).parquet(f"{folder}/alerts/epoch={done[-1]}").select(*schemas.ALERT.names)

@@ -123,6 +123,21 @@ def test_stream_recovery_keeps_state_between_batches(spark, tmp_path):
     ]
 
 
+def test_stream_recovery_is_the_same_for_every_order(spark, tmp_path):
+    schema = history(spark, *ROWS).schema
+    want = None
+    for number, order in enumerate(([0], list(range(len(ROWS))), list(reversed(range(len(ROWS)))))):
+        raw, out, cp = (str(tmp_path / f"{name}{number}") for name in ("raw", "out", "cp"))
+        for i in order:
+            part = history(spark, *(ROWS if number == 0 else [ROWS[i]]))
+            part.coalesce(1).write.mode("append").parquet(raw)
+            rows = landing.raw_stream(spark, raw, schema)
+            streaming.start_recovery(rows, out, cp).awaitTermination()
+        got = sorted(map(str, streaming.read_alerts(spark, out).collect()))
+        want = want or got
+        assert got == want and got
+
+
 def test_all_areas_share_one_aggregation(spark, tmp_path):
     path = str(tmp_path / "rows")
     history(spark, *ROWS).write.parquet(path)
