@@ -47,6 +47,7 @@ BLOCK_DOCS = 2048
 CHUNK = 2 << 20
 BUCKET_BYTES = 6 << 20
 PAIRS_A_BUCKET = 300
+SIGNATURE = 512  # buckets at most; a coarser signature only leaves more pairs to compare exactly
 BROADCAST_PAIRS = 500_000  # two keys each: 8 MB
 LIST_PART = 2048  # a longer list is scanned in pairs of parts
 _EMPTY = np.uint64(0xA0761D6478BD642F)
@@ -148,7 +149,7 @@ class Sets:
 
 def signature(values: np.ndarray) -> bytes:
     """Counts of a set's hashes by bucket; two sets differ by the sum of count differences at least."""
-    n = max(16, 2 ** len(values).bit_length())
+    n = min(SIGNATURE, max(16, 2 ** len(values).bit_length()))
     return np.minimum(np.bincount((values >> np.uint64(5)).astype(np.int64) % n, minlength=n), 255).astype(np.uint8).tobytes()
 
 
@@ -290,14 +291,14 @@ def linked(found: DataFrame) -> DataFrame:
     return found.where((F.col("a") != F.col("b")) & (100 * F.col("both") >= PERCENT * (F.col("na") + F.col("nb") - F.col("both")))).select("a", "b")
 
 
-def scan(entries: DataFrame) -> DataFrame:
+def scan(entries: DataFrame, signs: DataFrame) -> DataFrame:
     """Pairs (a, b) of different components in lists that the signature bound cannot rule out.
 
-    ``entries`` has list, doc, n, lead, label, sig and the list's length m. Pairs with a lead are known already.
+    Stored ``entries`` have list, doc, n, lead, label and the list's length m. Pairs with a lead are known already.
     """
     n_parts = F.ceil(F.col("m") / LIST_PART).cast("int")
     mine = F.pmod(F.xxhash64("doc"), F.col("parts")).cast("int")
-    rows = entries.withColumn("parts", n_parts).withColumn("mine", mine).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    rows = entries.join(signs.select("doc", "sig"), "doc").withColumn("parts", n_parts).withColumn("mine", mine).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     rows = rows.select("list", F.least("mine", "other").alias("p"), F.greatest("mine", "other").alias("q"), "mine", "doc", "n", "lead", "label", "sig")
     buckets = F.pmod(F.xxhash64("list", "p", "q"), F.lit(max(64, entries.count() // 20_000 + 1)))
 
@@ -359,7 +360,7 @@ def grouped(spark: SparkSession, docs: DataFrame) -> DataFrame:
     named = entries.join(labels, F.col("doc") == F.col("node"), "left").withColumn("label", F.coalesce("label", "doc")).drop("node")
     named = stored(spark, named, "set-labels")
     mixed = named.groupBy("list").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("list")
-    rest = stored(spark, scan(stored(spark, named.join(mixed, "list").join(signs.drop("size"), "doc"), "set-mixed")), "set-rest")
+    rest = stored(spark, scan(stored(spark, named.join(mixed, "list"), "set-mixed"), signs), "set-rest")
     more = linked(compare(spark, docs, rest))
     edges = found.union(more).union(copies.select(F.col("rep").alias("a"), F.col("doc_id").alias("b")))
     final = components(spark, edges)

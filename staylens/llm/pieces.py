@@ -77,25 +77,27 @@ def solve(words: DataFrame, pieces: Pieces, table: DataFrame) -> DataFrame:
     edges = edges.withColumn("e", F.explode(F.sequence(F.col("s") + 1, F.least(F.col("s") + pieces.longest, size))))
     edges = edges.select("unit", "s", "e", F.substring("lattice", F.col("s") + 1, F.col("e") - F.col("s")).alias("piece"))
     joined = edges.join(table, "piece", "left").where("id IS NOT NULL OR e = s + 1")
-    spelled = F.hex(F.encode(F.substring("unit", F.col("s") + 1, F.lit(1)), "UTF-8"))
-    as_bytes = F.transform(
-        F.sequence(F.lit(0), (F.octet_length(spelled) / 2).cast("int") - 1),
-        lambda i: (F.conv(F.substring(spelled, i * 2 + 1, F.lit(2)), 16, 10).cast("int") + pieces.byte),
-    )
-    ids = F.when(F.col("id").isNotNull(), F.array("id")).otherwise(as_bytes)
-    grouped = joined.groupBy("unit").agg(F.collect_list(F.struct("e", "s", F.coalesce("score", F.lit(pieces.worst)).alias("score"), ids.alias("ids"))).alias("edges"))
+    # A character that no piece covers stands as minus its place, and is spelled as bytes at the end.
+    mark = F.coalesce("id", -1 - F.col("s"))
+    grouped = joined.groupBy("unit").agg(F.collect_list(F.struct("e", "s", F.coalesce("score", F.lit(pieces.worst)).alias("score"), mark.alias("id"))).alias("edges"))
+
+    def as_bytes(place):
+        spelled = F.hex(F.encode(F.substring("unit", place, F.lit(1)), "UTF-8"))
+        return F.transform(F.split(spelled, "(?<=\\G..)(?=.)"), lambda x: F.conv(x, 16, 10).cast("int") + pieces.byte)
+
     start = F.array(F.struct(F.lit(0.0).alias("score"), F.array().cast("array<int>").alias("ids")))
 
     def step(best, x):
         """``best`` holds the best path to each end so far; ends rise, so a path to a new end is appended."""
         source = F.element_at(best, x["s"] + 1)
-        path = F.struct((source["score"] + x["score"]).alias("score"), F.concat(source["ids"], x["ids"]).alias("ids"))
+        path = F.struct((source["score"] + x["score"]).alias("score"), F.concat(source["ids"], F.array(x["id"])).alias("ids"))
         return F.when(F.size(best) <= x["e"], F.concat(best, F.array(path))).when(
             F.element_at(best, -1)["score"] <= source["score"] + x["score"], F.concat(F.slice(best, F.lit(1), x["e"]), F.array(path))
         ).otherwise(best)
 
     path = F.aggregate(F.array_sort("edges"), start, step, lambda best: F.element_at(best, -1)["ids"])
-    return grouped.select("unit", path.alias("ids"))
+    spelled = F.flatten(F.transform("path", lambda i: F.when(i >= 0, F.array(i)).otherwise(as_bytes(-i))))
+    return grouped.select("unit", path.alias("path")).select("unit", F.when(F.exists("path", lambda i: i < 0), spelled).otherwise(F.col("path")).alias("ids"))
 
 
 def encode(spark: SparkSession, docs: DataFrame, pieces: Pieces | None = None) -> DataFrame:
