@@ -1,8 +1,10 @@
 r"""SentencePiece encoding and decoding as a relational lattice.
 
 A text gets a leading space and is cut into units, ``" "?[^ \n]+`` of at most
-``MAX_UNIT`` characters, or a single space or line feed. Each distinct unit of the
-corpus is solved once: its substrings of bounded length are exploded and joined to
+``MAX_UNIT`` characters, or a single space or line feed; where no piece of the table
+holds a letter next to another character, units are cut there as well, which changes
+no path and leaves fewer distinct units. Each distinct unit of the corpus is solved
+once: its substrings of bounded length are exploded and joined to
 the piece table, edges are grouped by unit, and a higher-order aggregate folds the
 best-scoring path over the end positions (on equal scores the shorter last piece).
 A space is written as U+2581 in the piece table; a character that no piece covers,
@@ -33,14 +35,33 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MAX_UNIT = 48
 BROADCAST_PIECES = 300_000
 BLOCK_DOCS = 2048
+GATHER = "spark.sql.objectHashAggregate.sortBased.fallbackThreshold"
 SPACE = "▁"
 OWN = "\ue000"  # stands for a U+2581 of the text, which is no space
 FALLBACK = 10.0  # how much worse than the worst piece an uncovered character is
+UNITS_A_TASK = 1 << 16  # listed units, of which a few in ten are distinct
+GROUPS_IN_MEMORY = 1 << 15  # units whose edges a task gathers before it sorts them instead
 _UNITS = re.compile(r" ?[^ \n]{1,%d}|[ \n]" % MAX_UNIT)
 
 
-def units(text: str | None) -> list[str]:
-    return _UNITS.findall(" " + (text or ""))
+def units(text: str | None, pattern: re.Pattern = _UNITS) -> list[str]:
+    return pattern.findall(" " + (text or ""))
+
+
+def finer_units(names: list[str]) -> re.Pattern:
+    """Units cut between a letter and another character as well, leaving out letters that a piece joins to another."""
+    apart = ""
+    while True:
+        letter = re.compile(r"[^\W\d_%s]" % re.escape(apart))
+        crossed = set()
+        for name in names:
+            name = name.removeprefix(SPACE)
+            inside = [bool(letter.match(c)) for c in name]
+            crossed |= {c for i, c in enumerate(name) if inside[i] and not all(inside[max(i - 1, 0) : i + 2])}
+        if not crossed:
+            other = r"(?:[\d_%s]|[^\w \n])" % re.escape(apart)
+            return re.compile(r" ?%s{1,%d}| ?%s{1,%d}|[ \n]" % (letter.pattern, MAX_UNIT, other, MAX_UNIT))
+        apart += "".join(sorted(crossed))
 
 
 class Pieces:
@@ -56,6 +77,7 @@ class Pieces:
         if [model.id_to_piece(i) for i in byte_ids] != [f"<0x{b:02X}>" for b in range(256)] or byte_ids[-1] - byte_ids[0] != 255:
             raise ValueError("the model needs one byte piece for each byte, in order")
         self.byte = byte_ids[0]
+        self.units = finer_units([p for p, _, _ in self.rows])
         self.longest = max((len(p) for p, _, _ in self.rows), default=1)
         self.worst = min((s for _, _, s in self.rows), default=0.0) - FALLBACK
 
@@ -68,12 +90,12 @@ class Pieces:
         return known | {self.byte + b: bytes([b]) for b in range(256)}
 
 
-def solve(words: DataFrame, pieces: Pieces, table: DataFrame) -> DataFrame:
-    """(unit, ids) for the distinct units in ``words`` (unit)."""
+def solve(words: DataFrame, pieces: Pieces, table: DataFrame, tasks: int) -> DataFrame:
+    """(unit, ids) for the distinct units in ``words`` (unit), dealt once to ``tasks`` tasks."""
     size = F.char_length("unit")
 
     # One explode for the start and one for the end: both run in generated code.
-    edges = words.distinct().withColumn("lattice", F.translate("unit", " " + SPACE, SPACE + OWN)).withColumn("s", F.explode(F.sequence(F.lit(0), size - 1)))
+    edges = words.repartition(tasks, "unit").distinct().withColumn("lattice", F.translate("unit", " " + SPACE, SPACE + OWN)).withColumn("s", F.explode(F.sequence(F.lit(0), size - 1)))
     edges = edges.withColumn("e", F.explode(F.sequence(F.col("s") + 1, F.least(F.col("s") + pieces.longest, size))))
     edges = edges.select("unit", "s", "e", F.substring("lattice", F.col("s") + 1, F.col("e") - F.col("s")).alias("piece"))
     joined = edges.join(table, "piece", "left").where("id IS NOT NULL OR e = s + 1")
@@ -106,18 +128,26 @@ def encode(spark: SparkSession, docs: DataFrame, pieces: Pieces | None = None) -
     spread = -1 - F.pmod(F.xxhash64("text"), F.lit(4096))
     docs = docs.select(F.coalesce(F.floor(F.col("doc_id") / BLOCK_DOCS), spread).alias("block"), "doc_id", "text")
 
+    cut = pieces.units
+
     def listed(batches) -> Iterator[pa.RecordBatch]:
         for batch in W.chunks(batches, limit=3 << 20):
             held: dict[int, set[str]] = {}
             for block, text in zip(batch.column("block").to_pylist(), batch.column("text")):
-                held.setdefault(block, set()).update(units(text.as_py()))
+                held.setdefault(block, set()).update(units(text.as_py(), cut))
             for block, found in held.items():
                 for at in range(0, len(names := sorted(found)), 50_000):
                     part = names[at : at + 50_000]
                     yield pa.RecordBatch.from_arrays([pa.array([block] * len(part), pa.int64()), pa.array(part, pa.string())], names=["block", "unit"])
 
     named = stored(spark, docs.select("block", "text").mapInArrow(listed, "block bigint, unit string"), "unit-lists")
-    solved = stored(spark, solve(named.select("unit"), pieces, pieces.table(spark)), "units")
+    tasks = max(8, named.count() // UNITS_A_TASK + 1)
+    before = spark.conf.get(GATHER)
+    spark.conf.set(GATHER, GROUPS_IN_MEMORY)
+    try:
+        solved = stored(spark, solve(named.select("unit"), pieces, pieces.table(spark), tasks), "units")
+    finally:
+        spark.conf.set(GATHER, before)
     answers = named.join(solved, "unit").select("block", "unit", "ids")
     back = pieces.bytes_of()
     kinds = pa.schema([("doc_id", pa.int64()), ("n_ids", pa.int64()), ("ids", pa.list_(pa.int32())), ("round_trip", pa.bool_())])
@@ -135,7 +165,7 @@ def encode(spark: SparkSession, docs: DataFrame, pieces: Pieces | None = None) -
             rows, trip, counts = [], [], []
             for text in batch.column("text"):
                 text = text.as_py() or ""
-                at = [place[u] for u in units(text)]
+                at = [place[u] for u in units(text, cut)]
                 rows.append(np.array(at, np.int64))
                 trip.append(b"".join([spelled[i] for i in at])[1:] == text.encode())
                 counts.append(int(size[rows[-1]].sum()))
