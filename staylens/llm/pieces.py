@@ -50,18 +50,24 @@ def units(text: str | None, pattern: re.Pattern = _UNITS) -> list[str]:
 
 def finer_units(names: list[str]) -> re.Pattern:
     """Units cut between a letter and another character as well, leaving out letters that a piece joins to another."""
-    apart = ""
+    letters = {c for c in map(chr, range(1 << 16)) if c.isalpha()}
     while True:
-        letter = re.compile(r"[^\W\d_%s]" % re.escape(apart))
         crossed = set()
         for name in names:
             name = name.removeprefix(SPACE)
-            inside = [bool(letter.match(c)) for c in name]
+            inside = [c in letters for c in name]
             crossed |= {c for i, c in enumerate(name) if inside[i] and not all(inside[max(i - 1, 0) : i + 2])}
         if not crossed:
-            other = r"(?:[\d_%s]|[^\w \n])" % re.escape(apart)
-            return re.compile(r" ?%s{1,%d}| ?%s{1,%d}|[ \n]" % (letter.pattern, MAX_UNIT, other, MAX_UNIT))
-        apart += "".join(sorted(crossed))
+            break
+        letters -= crossed
+    if not letters:
+        return _UNITS
+    # Spelled as ranges: one look into a table for each character.
+    codes = sorted(map(ord, letters))
+    first = [c for c, before in zip(codes, [-2, *codes]) if c != before + 1]
+    last = [c for c, after in zip(codes, [*codes[1:], -2]) if after != c + 1]
+    spelled = "".join(rf"\u{a:04x}-\u{b:04x}" for a, b in zip(first, last))
+    return re.compile(r" ?[%s]{1,%d}| ?[^ \n%s]{1,%d}|[ \n]" % (spelled, MAX_UNIT, spelled, MAX_UNIT))
 
 
 class Pieces:
@@ -94,10 +100,11 @@ def solve(words: DataFrame, pieces: Pieces, table: DataFrame, tasks: int) -> Dat
     """(unit, ids) for the distinct units in ``words`` (unit), dealt once to ``tasks`` tasks."""
     size = F.char_length("unit")
 
-    # One explode for the start and one for the end: both run in generated code.
-    edges = words.repartition(tasks, "unit").distinct().withColumn("lattice", F.translate("unit", " " + SPACE, SPACE + OWN)).withColumn("s", F.explode(F.sequence(F.lit(0), size - 1)))
-    edges = edges.withColumn("e", F.explode(F.sequence(F.col("s") + 1, F.least(F.col("s") + pieces.longest, size))))
-    edges = edges.select("unit", "s", "e", F.substring("lattice", F.col("s") + 1, F.col("e") - F.col("s")).alias("piece"))
+    # One explode for the start and one for the length: both run in generated code.
+    starts = words.repartition(tasks, "unit").distinct().withColumn("lattice", F.translate("unit", " " + SPACE, SPACE + OWN)).withColumn("s", F.explode(F.sequence(F.lit(0), size - 1)))
+    starts = starts.select("unit", "s", F.substring("lattice", F.col("s") + 1, F.lit(pieces.longest)).alias("tail"))
+    edges = starts.withColumn("length", F.explode(F.sequence(F.lit(1), F.char_length("tail"))))
+    edges = edges.select("unit", "s", (F.col("s") + F.col("length")).alias("e"), F.substring("tail", F.lit(1), F.col("length")).alias("piece"))
     joined = edges.join(table, "piece", "left").where("id IS NOT NULL OR e = s + 1")
     # A character that no piece covers stands as minus its place, and is spelled as bytes at the end.
     mark = F.coalesce("id", -1 - F.col("s"))
@@ -153,21 +160,24 @@ def encode(spark: SparkSession, docs: DataFrame, pieces: Pieces | None = None) -
     kinds = pa.schema([("doc_id", pa.int64()), ("n_ids", pa.int64()), ("ids", pa.list_(pa.int32())), ("round_trip", pa.bool_())])
 
     def put_together(texts: pa.Table, answers: pa.Table) -> pa.Table:
-        place = {u: i for i, u in enumerate(answers.column("unit").to_pylist())}
+        listed_units = answers.column("unit").to_pylist()  # one that several tasks listed stands here as often
+        place = {u: i for i, u in enumerate(listed_units)}
         lists = answers.column("ids").combine_chunks()
         lists = lists.chunk(0) if isinstance(lists, pa.ChunkedArray) else lists
         flat = lists.flatten().to_numpy(zero_copy_only=False)
         size = lists.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
         begin = np.cumsum(size) - size
         spelled = [b"".join(map(back.__getitem__, flat[b : b + n].tolist())) for b, n in zip(begin.tolist(), size.tolist())]
+        # A text comes back where its units cover it and every unit comes back.
+        whole = np.array([s == u.encode() for s, u in zip(spelled, listed_units)], bool)
         out = []
         for batch in W.chunks(texts.to_batches()):
             rows, trip, counts = [], [], []
             for text in batch.column("text"):
                 text = text.as_py() or ""
-                at = [place[u] for u in units(text, cut)]
-                rows.append(np.array(at, np.int64))
-                trip.append(b"".join([spelled[i] for i in at])[1:] == text.encode())
+                names = units(text, cut)
+                rows.append(np.fromiter(map(place.__getitem__, names), np.int64, len(names)))
+                trip.append(bool(whole[rows[-1]].all()) and sum(map(len, names)) == len(text) + 1)
                 counts.append(int(size[rows[-1]].sum()))
             every = np.concatenate(rows)
             where, _ = W.flat(begin[every], begin[every] + size[every])

@@ -336,6 +336,23 @@ def test_op7(spark, folder):
     assert all(back[i] == (t or "") for i, t, _ in ROWS)
 
 
+def test_units_listed_by_several_tasks(spark):
+    texts = {i: "shared words, shared words " + "more " * i for i in range(6)}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string").repartition(6, "doc_id")
+    found = pieces.encode(spark, docs)
+    assert all(r["round_trip"] for r in found.collect())
+    assert {r["doc_id"]: r["text"] for r in pieces.decode(found).collect()} == texts
+
+
+def test_no_piece_crosses_a_cut():
+    cut = pieces.finer_units(["ab", "a-b", "².", "▁c"])
+    assert cut.findall(" xy, a-by ².") == [" xy", ",", " a-b", "y", " ²."]
+    table = pieces.Pieces()
+    for name, _, _ in table.rows:
+        unit = " " + name.removeprefix(pieces.SPACE)
+        assert table.units.findall(unit) in ([unit], [" ", unit[1:]])
+
+
 def test_op8(spark, folder):
     rows = rows_of(spark, "op8_html_extraction", folder)
     assert len(rows) == len(PAGES)
