@@ -1,9 +1,10 @@
 r"""SentencePiece encoding and decoding as a relational lattice.
 
-A text gets a leading space and is cut into units, ``" "?[^ \n]+`` of at most
-``MAX_UNIT`` characters, or a single space or line feed; where no piece of the table
-holds a letter next to another character, units are cut there as well, which changes
-no path and leaves fewer distinct units. Each distinct unit of the corpus is solved
+A text gets a leading space and is cut into units, `` *[^ \n]+``, a run of spaces or a
+line feed; where no piece of the table holds a letter next to another character, units
+are cut there as well. No piece crosses a cut, so the best paths of the units are the
+best path of the text; a table with pieces over a space's left side or over a line feed
+leaves the text whole. Each distinct unit of the corpus is solved
 once: its substrings of bounded length are exploded and joined to
 the piece table, edges are grouped by unit, and a higher-order aggregate folds the
 best-scoring path over the end positions (on equal scores the shorter last piece).
@@ -41,7 +42,8 @@ OWN = "\ue000"  # stands for a U+2581 of the text, which is no space
 FALLBACK = 10.0  # how much worse than the worst piece an uncovered character is
 UNITS_A_TASK = 1 << 16  # listed units, of which a few in ten are distinct
 GROUPS_IN_MEMORY = 1 << 15  # units whose edges a task gathers before it sorts them instead
-_UNITS = re.compile(r" ?[^ \n]{1,%d}|[ \n]" % MAX_UNIT)
+_UNITS = re.compile(r" *[^ \n]{1,%d}| +|\n" % MAX_UNIT)
+_WHOLE = re.compile(r".+", re.S)
 
 
 def units(text: str | None, pattern: re.Pattern = _UNITS) -> list[str]:
@@ -49,12 +51,17 @@ def units(text: str | None, pattern: re.Pattern = _UNITS) -> list[str]:
 
 
 def finer_units(names: list[str]) -> re.Pattern:
-    """Units cut between a letter and another character as well, leaving out letters that a piece joins to another."""
+    """Units cut between a letter and another character as well, leaving out letters that a piece joins to another.
+
+    Whole texts where a piece holds a space after another character, or a line feed next to one.
+    """
+    if any(SPACE in name.lstrip(SPACE) or ("\n" in name and len(name) > 1) for name in names):
+        return _WHOLE
     letters = {c for c in map(chr, range(1 << 16)) if c.isalpha()}
     while True:
         crossed = set()
         for name in names:
-            name = name.removeprefix(SPACE)
+            name = name.lstrip(SPACE)
             inside = [c in letters for c in name]
             crossed |= {c for i, c in enumerate(name) if inside[i] and not all(inside[max(i - 1, 0) : i + 2])}
         if not crossed:
@@ -67,7 +74,7 @@ def finer_units(names: list[str]) -> re.Pattern:
     first = [c for c, before in zip(codes, [-2, *codes]) if c != before + 1]
     last = [c for c, after in zip(codes, [*codes[1:], -2]) if after != c + 1]
     spelled = "".join(rf"\u{a:04x}-\u{b:04x}" for a, b in zip(first, last))
-    return re.compile(r" ?[%s]{1,%d}| ?[^ \n%s]{1,%d}|[ \n]" % (spelled, MAX_UNIT, spelled, MAX_UNIT))
+    return re.compile(r" *[%s]{1,%d}| *[^ \n%s]{1,%d}| +|\n" % (spelled, MAX_UNIT, spelled, MAX_UNIT))
 
 
 class Pieces:

@@ -353,6 +353,43 @@ def test_no_piece_crosses_a_cut():
         assert table.units.findall(unit) in ([unit], [" ", unit[1:]])
 
 
+def best_path(text, table):
+    """Ids and score of the best path over a whole uncut text, the shorter last piece on equal scores."""
+    score = {p: (s, i) for p, i, s in table.rows}
+    text = " " + text
+    lattice = text.replace(pieces.SPACE, pieces.OWN).replace(" ", pieces.SPACE)
+    best = [(0.0, 0, [])]
+    for e in range(1, len(lattice) + 1):
+        choices = []
+        for s in range(max(0, e - table.longest), e):
+            if lattice[s:e] in score:
+                value, i = score[lattice[s:e]]
+                choices.append((best[s][0] + value, s, [i]))
+            elif s == e - 1:
+                choices.append((best[s][0] + table.worst, s, [table.byte + b for b in text[s:e].encode()]))
+        best.append(max(choices))
+    ids, e = [], len(lattice)
+    while e:
+        _, s, last = best[e]
+        ids, e = last + ids, s
+    return ids
+
+
+def against_whole_texts(spark, texts):
+    table = pieces.Pieces()
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    found = {r["doc_id"]: r for r in pieces.encode(spark, docs, table).collect()}
+    for i, text in enumerate(texts):
+        assert found[i]["ids"] == best_path(text, table), text
+        assert found[i]["round_trip"]
+
+
+def test_runs_of_spaces_take_the_best_path_of_the_whole_text(spark):
+    code = "def f(x):\n    if x:\n        return  x\n\n  \n\tend   "
+    against_whole_texts(spark, ["x:    return", code, "   ", "a  \u2581  b", " " * 40 + "|  cell   |", "\u2581\u2581  \u2581x"])
+    assert pieces.finer_units(["a\u2581b"]).findall(" a b\nc") == [" a b\nc"]
+
+
 def test_op8(spark, folder):
     rows = rows_of(spark, "op8_html_extraction", folder)
     assert len(rows) == len(PAGES)
