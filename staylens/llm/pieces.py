@@ -8,6 +8,8 @@ leaves the text whole. Each distinct unit of the corpus is solved
 once: its substrings of bounded length are exploded and joined to
 the piece table, edges are grouped by unit, and a higher-order aggregate folds the
 best-scoring path over the end positions (on equal scores the shorter last piece).
+A unit of more than ``MAX_UNIT`` characters is walked once instead, each end looking
+back over the longest piece only, with the same choice.
 A space is written as U+2581 in the piece table; a character that no piece covers,
 and a U+2581 of the text itself, becomes its UTF-8 bytes. Decoding joins pieces and
 bytes and drops the leading space, which gives back the whole text.
@@ -21,7 +23,9 @@ unit is the leading space.
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Iterator
+from math import inf
 
 import numpy as np
 import pyarrow as pa
@@ -33,7 +37,7 @@ from staylens.llm.components import stored
 from staylens.session import configure
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
-MAX_UNIT = 48
+MAX_UNIT = 48  # a longer unit is solved outside the lattice: its paths would grow with the square of its length
 BROADCAST_PIECES = 300_000
 BLOCK_DOCS = 2048
 GATHER = "spark.sql.objectHashAggregate.sortBased.fallbackThreshold"
@@ -42,7 +46,7 @@ OWN = "\ue000"  # stands for a U+2581 of the text, which is no space
 FALLBACK = 10.0  # how much worse than the worst piece an uncovered character is
 UNITS_A_TASK = 1 << 16  # listed units, of which a few in ten are distinct
 GROUPS_IN_MEMORY = 1 << 15  # units whose edges a task gathers before it sorts them instead
-_UNITS = re.compile(r" *[^ \n]{1,%d}| +|\n" % MAX_UNIT)
+_UNITS = re.compile(r" *[^ \n]+| +|\n")
 _WHOLE = re.compile(r".+", re.S)
 
 
@@ -74,7 +78,7 @@ def finer_units(names: list[str]) -> re.Pattern:
     first = [c for c, before in zip(codes, [-2, *codes]) if c != before + 1]
     last = [c for c, after in zip(codes, [*codes[1:], -2]) if after != c + 1]
     spelled = "".join(rf"\u{a:04x}-\u{b:04x}" for a, b in zip(first, last))
-    return re.compile(r" *[%s]{1,%d}| *[^ \n%s]{1,%d}| +|\n" % (spelled, MAX_UNIT, spelled, MAX_UNIT))
+    return re.compile(r" *[%s]+| *[^ \n%s]+| +|\n" % (spelled, spelled))
 
 
 class Pieces:
@@ -136,6 +140,42 @@ def solve(words: DataFrame, pieces: Pieces, table: DataFrame, tasks: int) -> Dat
     return grouped.select("unit", path.alias("path")).select("unit", F.when(F.exists("path", lambda i: i < 0), spelled).otherwise(F.col("path")).alias("ids"))
 
 
+def walk(unit: str, known: dict[str, tuple[float, int]], pieces: Pieces) -> list[int]:
+    """The ids of the best path over a unit of any length, as :func:`solve` finds it."""
+    lattice = unit.translate({ord(" "): SPACE, ord(SPACE): OWN})
+    score, last = array("d", [0.0]), array("l", [0])
+    for e in range(1, len(lattice) + 1):
+        best, size = -inf, 1
+        for s in range(max(0, e - pieces.longest), e):
+            found = known.get(lattice[s:e])
+            if found is None and s < e - 1:
+                continue
+            value = score[s] + (found[0] if found else pieces.worst)
+            if value >= best:
+                best, size = value, e - s
+        score.append(best)
+        last.append(size)
+    ids, e = [], len(lattice)
+    while e:
+        s = e - last[e]
+        found = known.get(lattice[s:e])
+        ids.extend([found[1]] if found else [pieces.byte + b for b in reversed(unit[s:e].encode())])
+        e = s
+    return ids[::-1]
+
+
+def solve_long(words: DataFrame, pieces: Pieces, tasks: int) -> DataFrame:
+    """(unit, ids) for the distinct units in ``words`` (unit), however long."""
+    known = {p: (s, i) for p, i, s in pieces.rows}
+
+    def read(batches) -> Iterator[pa.RecordBatch]:
+        for batch in W.chunks(batches, "unit"):
+            ids = [walk(unit, known, pieces) for unit in batch.column("unit").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("unit"), pa.array(ids, pa.list_(pa.int32()))], names=["unit", "ids"])
+
+    return words.repartition(tasks, "unit").distinct().mapInArrow(read, "unit string, ids array<int>")
+
+
 def encode(spark: SparkSession, docs: DataFrame, pieces: Pieces | None = None) -> DataFrame:
     """doc_id, n_ids, ids, round_trip for every row of ``docs`` (doc_id, text); round_trip: decoding gives the text back."""
     pieces = pieces or Pieces()
@@ -159,7 +199,9 @@ def encode(spark: SparkSession, docs: DataFrame, pieces: Pieces | None = None) -
     before = spark.conf.get(GATHER)
     spark.conf.set(GATHER, GROUPS_IN_MEMORY)
     try:
-        solved = stored(spark, solve(named.select("unit"), pieces, pieces.table(spark), tasks), "units")
+        short = F.char_length("unit") <= MAX_UNIT
+        solved = solve(named.where(short).select("unit"), pieces, pieces.table(spark), tasks)
+        solved = stored(spark, solved.unionByName(solve_long(named.where(~short).select("unit"), pieces, max(8, tasks // 8))), "units")
     finally:
         spark.conf.set(GATHER, before)
     answers = named.join(solved, "unit").select("block", "unit", "ids")

@@ -390,6 +390,14 @@ def test_runs_of_spaces_take_the_best_path_of_the_whole_text(spark):
     assert pieces.finer_units(["a\u2581b"]).findall(" a b\nc") == [" a b\nc"]
 
 
+def test_long_runs_take_the_best_path_of_the_whole_text(spark):
+    rng = random.Random(5)
+    base64 = "".join(rng.choices("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/", k=900))
+    script = "".join(rng.choices("\u4e2d\u56fd\u4eba\u6c11\u5927\u5b66\U0001f600\u2581", k=300))
+    letters = "internationalization" * 12
+    against_whole_texts(spark, [base64, script, letters, "https://example.org/" + letters + "?q=" + base64, " " * 200, "x" + " " * 120 + letters])
+
+
 def test_op8(spark, folder):
     rows = rows_of(spark, "op8_html_extraction", folder)
     assert len(rows) == len(PAGES)
