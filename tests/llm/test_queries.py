@@ -414,6 +414,41 @@ def test_html_blocks_keep_long_runs():
     assert html_blocks.main_text(page).endswith("tail")
 
 
+def test_noise_words_do_not_drop_the_article():
+    body = "<p>" + "word " * 40 + "</p><p>end</p>"
+    want = ("word " * 40).strip() + "\n\nend"
+    for page in (
+        f"<div class='layout has-sidebar'><article>{body}</article></div>",
+        f"<article class='post no-comments'>{body}</article>",
+        f"<div id='content-header-wrap'><article>{body}</article><div class='sidebar'>side</div></div>",
+        f"<div class='banner'><main>{body}<div class='comments'>reader</div></main></div><p>left over</p>",
+        f"<div class='page widget'>{body}</div><div class='footer'>f</div>",
+        f"<div id='nav-open'>{body}<ul class='menu'><li>m</li></ul></div>",
+    ):
+        assert html_blocks.main_text(page) == want, page
+    two = html_blocks.main_text(f"<article class='no-comments'>{body}</article><article class='no-comments'>{body}</article>")
+    assert two == want + "\n\n" + want
+
+
+def test_noise_words_still_drop_noise():
+    body = "<p>" + "word " * 40 + "</p>"
+    want = ("word " * 40).strip()
+    reader = "<article class='comment-body'><p>" + "reader " * 60 + "</p></article>"
+    for page in (
+        f"<div class='content'>{body}</div><div id='comments'>{reader * 3}</div>",
+        f"<div>{body}</div><div class='related-posts'><article>teaser one</article><article>teaser two</article></div>",
+        f"<article>{body}</article><div class='site-footer'>foot</div><div class='cookie'>{'cookies ' * 90}</div>",
+    ):
+        assert html_blocks.main_text(page) == want, page
+    assert html_blocks.main_text("<div class='footer'>foot</div>") == ""
+
+
+def test_windows_pass_over_noise_lines():
+    menu = "<ul class='menu'>" + "<li>item</li>" * 5 + "</ul>"
+    page = "<p>" + "word " * 40 + "</p>" + menu + "<p>the short end</p>"
+    assert html_blocks.main_text(page) == ("word " * 40).strip() + "\n\nthe short end"
+
+
 def test_op9(spark, folder):
     rows = rows_of(spark, "op9_quality_rules", folder)
     assert same_rows(rows)
