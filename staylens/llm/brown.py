@@ -3,15 +3,17 @@ r"""Brown class-based bigram language model with exchange clustering.
 Texts are lower-cased in A-Z; tokens are words ``[^\x20\x09-\x0D]+`` and one end
 per text. Exchange clustering assigns every word to one of ``CLASSES`` classes:
 each of the ``FREQUENT`` most frequent words is an item of its own, all other
-words, unseen ones too, are items by their ending. Items move one by one to the
+words start as items by their ending. Items move one by one to the
 class that raises the likelihood of the class bigrams most; each task moves its
-share of the items against the counts of the last round. A token then costs
+share of the items against the counts of the last round. Then every other learnt word
+moves on its own to the class that its own neighbours' classes favour most; the classes of these
+words are a table, joined back by block. Words that no learning text holds keep the class of their ending. A token then costs
 p(class | class before) * p(word | class), both smoothed; each class keeps mass for
 one unseen word.
 
 Counting is over all learning texts. Words are counted where they are first met,
 by block of documents, and only (block, word, count) rows travel; back to a block
-go the counts of words that other blocks hold too. What reaches the driver is bounded
+go the counts and classes of its words. What reaches the driver is bounded
 by FREQUENT, SUFFIXES and CLASSES. A null text is empty: it has the end only. Rows
 with the same key are scored one by one. Without learning texts every token is unseen.
 """
@@ -22,16 +24,20 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from staylens.llm import words as W
+from staylens.llm.components import stored
 from staylens.session import configure, scratch_path
 
 FREQUENT, SUFFIXES, CLASSES, ROUNDS = 4096, 1024, 48, 8
 SUFFIX_BYTES = 4
 BLOCK_DOCS = 2048
 COUNT_BYTES = 4 << 20
+CONTEXT_BYTES = 8 << 20  # text for each bucket of words
+MOVED = 4096  # words that move at once against the same counts
 FOLDS, HELD = 5, 1
 TRANSITION_WEIGHT = 20.0
 END = FREQUENT + SUFFIXES  # the item of the end token; its class is the last one
@@ -206,10 +212,139 @@ def cluster(table: DataFrame, rounds: int = ROUNDS) -> np.ndarray:
     return classes
 
 
+def contexts(docs: DataFrame, items: Items, classes: np.ndarray, buckets: int) -> DataFrame:
+    """Packed by bucket: how often each word that is no item of its own stands before (cell class), behind (CLASSES + class) or next to itself (2 * CLASSES)."""
+
+    def read(batches) -> Iterator[pa.RecordBatch]:
+        squeeze = zstandard.ZstdCompressor(level=3).compress
+        for batch in W.chunks(batches, limit=COUNT_BYTES):
+            word, ending, text, n = words_of(batch.column("text"))
+            item = items.of(word, ending)
+            line, place, _ = with_ends(classes[item], text, n, CLASSES - 1)
+            same, _, _ = with_ends(word, text, n, 0)
+            some = np.flatnonzero(item >= FREQUENT)
+            word, ending, place = word[some], ending[some].astype(np.uint16), place[some]
+            begins = same[place - 1] != word
+            cell = np.concatenate((np.where(same[place + 1] == word, 2 * CLASSES, line[place + 1]), CLASSES + line[place - 1][begins])).astype(np.uint8)
+            word, ending = np.concatenate((word, word[begins])), np.concatenate((ending, ending[begins]))
+            bucket = (word >> np.uint64(32)) % np.uint64(buckets)
+            order = np.lexsort((cell, word, bucket))
+            word, ending, cell, bucket = word[order], ending[order], cell[order], bucket[order]
+            new = np.flatnonzero(np.concatenate(([True], (word[1:] != word[:-1]) | (cell[1:] != cell[:-1])))) if len(word) else np.zeros(0, np.int64)
+            count = np.diff(np.append(new, len(word))).astype(np.uint32)
+            word, ending, cell, bucket = word[new], ending[new], cell[new], bucket[new]
+            edge = np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1], [True]))) if len(bucket) else []
+            rows = [(int(bucket[a]), *(squeeze(x[a:b].tobytes()) for x in (word, ending, cell, count))) for a, b in zip(edge[:-1], edge[1:])]
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), (pa.int64(), *[pa.binary()] * 4))], names=["bucket", "words", "endings", "cells", "counts"])
+
+    return docs.where("learn").select("text").mapInArrow(read, "bucket bigint, words binary, endings binary, cells binary, counts binary")
+
+
+def best_classes(m: np.ndarray, row: np.ndarray, cell: np.ndarray, n: np.ndarray, now: np.ndarray) -> np.ndarray:
+    """What :func:`best_class` finds for many words, each taken out of ``m`` alone: entries (row, cell, n) by row, ``now`` the class of each row."""
+    size, each = len(now), np.arange(len(now))
+    table = np.bincount(row * (2 * CLASSES + 1) + cell, weights=n, minlength=size * (2 * CLASSES + 1)).reshape(size, -1)
+    follow, before, own = table[:, :CLASSES], table[:, CLASSES:-1], table[:, -1]
+    gain = np.zeros((size, CLASSES))
+    for first, counts, other in ((0, m.T, before), (CLASSES, m, follow)):
+        at = np.flatnonzero((cell >= first) & (cell < first + CLASSES))
+        if not len(at):
+            continue
+        r, d, k = row[at], cell[at] - first, n[at]
+        left = counts[d]
+        left[np.arange(len(at)), now[r]] -= k
+        meets = np.flatnonzero(d == now[r])
+        left[meets] -= other[r[meets]]
+        left[meets, d[meets]] -= own[r[meets]]
+        left = np.maximum(left, 0)
+        begin = np.flatnonzero(np.concatenate(([True], r[1:] != r[:-1])))
+        gain[r[begin]] += np.add.reduceat(_f(left + k[:, None]) - _f(left), begin)
+    d = np.tile(np.diag(m), (size, 1))
+    d[each, now] -= follow[each, now] + before[each, now] + own
+    d = np.maximum(d, 0)
+    gain += _f(d + follow + before + own[:, None]) - _f(d + follow) - _f(d + before) + _f(d)
+    left, right = m.sum(1) - before, m.sum(0) - follow
+    out, into = follow.sum(1) + own, before.sum(1) + own
+    left[each, now] -= out
+    right[each, now] -= into
+    left, right = np.maximum(left, 0), np.maximum(right, 0)
+    gain -= _f(left + out[:, None]) - _f(left) + _f(right + into[:, None]) - _f(right)
+    return gain[:, : CLASSES - 1].argmax(1)
+
+
+def word_classes(packed: DataFrame, classes: np.ndarray, counts: np.ndarray) -> DataFrame:
+    """(word, class) for every word of the ``packed`` contexts; each task moves its words against its own copy of the counts."""
+
+    def move(table: pa.Table) -> pa.Table:
+        expand = zstandard.ZstdDecompressor().decompress
+        word, ending, cell, n = (np.concatenate([np.frombuffer(expand(x.as_py()), k) for x in table.column(c)]) for c, k in (("words", np.uint64), ("endings", np.uint16), ("cells", np.uint8), ("counts", np.uint32)))
+        order = np.lexsort((cell, word))
+        word, ending, cell, n = word[order], ending[order], cell[order].astype(np.int64), n[order].astype(float)
+        new = np.flatnonzero(np.concatenate(([True], (word[1:] != word[:-1]) | (cell[1:] != cell[:-1]))))
+        word, ending, cell, n = word[new], ending[new], cell[new], np.add.reduceat(n, new)
+        begin = np.flatnonzero(np.concatenate(([True], word[1:] != word[:-1])))
+        now = classes[FREQUENT + ending[begin].astype(np.int64)]
+        ends = np.append(begin, len(word))
+        m, found = counts.copy(), now.copy()
+        for a in range(0, len(begin), MOVED):
+            b = min(a + MOVED, len(begin))
+            part = slice(ends[a], ends[b])
+            row = np.repeat(np.arange(b - a), np.diff(ends[a : b + 1]))
+            found[a:b] = best_classes(m, row, cell[part], n[part], now[a:b])
+            for sign, at in ((-1, now[a:b][row]), (1, found[a:b][row])):
+                c, k = cell[part], sign * n[part]
+                x = np.where(c < CLASSES, at, np.where(c < 2 * CLASSES, c - CLASSES, at))
+                y = np.where(c < CLASSES, c, at)
+                m += np.bincount(x * CLASSES + y, weights=k, minlength=CLASSES * CLASSES).reshape(CLASSES, CLASSES)
+            np.maximum(m, 0, out=m)
+        return pa.table({"word": word[begin].view(np.int64), "class": found})
+
+    return packed.groupBy("bucket").applyInArrow(move, "word bigint, class bigint")
+
+
+def class_of(items: Items, classes: np.ndarray, word: np.ndarray, ending: np.ndarray, named: np.ndarray, own: np.ndarray) -> np.ndarray:
+    """The class of each word: its own where the sorted ``named`` words hold it, else that of its item."""
+    found = classes[items.of(word, ending)]
+    if len(named):
+        at = np.minimum(np.searchsorted(named, word), len(named) - 1)
+        found = np.where(named[at] == word, own[at], found)
+    return found
+
+
+def named_classes(known: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted words with a class of their own, and the classes."""
+    rows = known.filter(known.column("class").is_valid())
+    word, own = rows.column("word").to_numpy().view(np.uint64), rows.column("class").to_numpy()
+    order = np.argsort(word)
+    return word[order], own[order]
+
+
+def class_bigrams(docs: DataFrame, known: DataFrame, items: Items, classes: np.ndarray) -> np.ndarray:
+    """How often class d follows class c in learning texts, each word with its own class; ``known`` has block, word, c, class."""
+
+    def read(texts: pa.Table, known: pa.Table) -> pa.Table:
+        named = named_classes(known)
+        sums = np.zeros(CLASSES * CLASSES)
+        for batch in W.chunks(texts.to_batches()):
+            word, ending, text, n = words_of(batch.column("text"))
+            line, _, _ = with_ends(class_of(items, classes, word, ending, *named), text, n, CLASSES - 1)
+            sums += np.bincount(line[:-1] * CLASSES + line[1:], minlength=CLASSES * CLASSES)
+        some = np.flatnonzero(sums)
+        return pa.table({"key": some, "n": sums[some]})
+
+    out = np.zeros(CLASSES * CLASSES)
+    texts = docs.where("learn").select("block", "text")
+    for r in texts.groupBy("block").cogroup(known.groupBy("block")).applyInArrow(read, "key bigint, n double").groupBy("key").agg(F.sum("n").alias("n")).collect():
+        out[r["key"]] = r["n"]
+    return out.reshape(CLASSES, CLASSES)
+
+
 class Model:
-    """Counts and classes; costs of tokens."""
+    """Counts and classes; costs of tokens. ``known`` has block, word, c and the class of words that are no item of their own."""
 
-    def __init__(self, items: Items, classes: np.ndarray, follow: np.ndarray, tokens: np.ndarray, kinds: np.ndarray, texts: int):
+    def __init__(self, items: Items, classes: np.ndarray, follow: np.ndarray, tokens: np.ndarray, kinds: np.ndarray, texts: int, known: DataFrame):
+        self.known = known
         self.items, self.classes, self.texts = items, classes, texts
         self.tokens, self.kinds = int(tokens.sum()) + texts, int(kinds.sum()) + (texts > 0)
         share = (follow.sum(0) + 0.5) / (follow.sum() + 0.5 * CLASSES)
@@ -217,13 +352,16 @@ class Model:
         self.emit = np.log10(tokens + 0.5 * (kinds + 1))  # denominator by class
         self.base = np.log10(self.tokens + 0.5 * (self.kinds + 1))
 
-    def score(self, column: pa.Array, known: np.ndarray, count: np.ndarray):
-        """n_tokens, n_known, base and class score of each text; ``known`` are sorted words with their counts."""
+    def __getstate__(self):
+        return {k: v for k, v in self.__dict__.items() if k != "known"}
+
+    def score(self, column: pa.Array, known: np.ndarray, count: np.ndarray, named: np.ndarray, own: np.ndarray):
+        """n_tokens, n_known, base and class score of each text; ``known`` are sorted words with their counts, ``named`` those with a class of their own."""
         word, ending, text, n = words_of(column)
         word = word.view(np.int64)
         at = np.minimum(np.searchsorted(known, word), max(len(known) - 1, 0))
         c = np.where(known[at] == word, count[at], 0) if len(known) else np.zeros(len(word), np.int64)
-        classes = self.classes[self.items.of(word.view(np.uint64), ending)]
+        classes = class_of(self.items, self.classes, word.view(np.uint64), ending, named, own)
         logs = np.log10(c + 0.5)
         line, place, close = with_ends(classes, text, n, CLASSES - 1)
         step = self.step[line[:-1], line[1:]]
@@ -234,11 +372,12 @@ class Model:
 
 
 def class_sizes(vocabulary: DataFrame, items: Items, classes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Tokens and distinct words of each class over (word, ending, c)."""
+    """Tokens and distinct words of each class over (word, ending, c, class); a null class is that of the item."""
 
     def read(batches) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            at = classes[items.of(batch.column("word").to_numpy().view(np.uint64), batch.column("ending").to_numpy())]
+            own = batch.column("class").fill_null(-1).to_numpy()
+            at = np.where(own >= 0, own, classes[items.of(batch.column("word").to_numpy().view(np.uint64), batch.column("ending").to_numpy())])
             sums = [np.bincount(at, weights=w, minlength=CLASSES).astype(np.int64) for w in (batch.column("c").to_numpy(), None)]
             yield pa.RecordBatch.from_arrays([pa.array(np.arange(CLASSES)), *map(pa.array, sums)], names=["class", "tokens", "kinds"])
 
@@ -253,7 +392,7 @@ def count_words(spark: SparkSession, docs: DataFrame) -> DataFrame:
     path = scratch_path(spark, "brown-words")
     same = Window.partitionBy("word")
     rows = word_rows(docs).select("*", F.sum("n").over(same).alias("c"), (F.row_number().over(same.orderBy("block")) == 1).alias("first"))
-    rows.where("first OR c > n").write.parquet(path)
+    rows.write.parquet(path)
     return spark.read.parquet(path)
 
 
@@ -265,11 +404,17 @@ def learn(spark: SparkSession, docs: DataFrame, counted: DataFrame) -> Model:
     neighbours(bigrams(docs, items)).write.parquet(path)
     table = spark.read.parquet(path)
     classes = cluster(table)
-    texts = docs.where("learn").count()
-    return Model(items, classes, class_counts(table, classes), *class_sizes(vocabulary, items, classes), texts)
+    size = docs.where("learn").agg(F.count("*").alias("n"), F.sum(F.octet_length("text")).alias("b")).first()
+    packed = contexts(docs, items, classes, max(8, (size["b"] or 0) // CONTEXT_BYTES + 1))
+    own = stored(spark, word_classes(packed, classes, class_counts(table, classes)), "brown-classes")
+    named = stored(spark, counted.where("c > 0").join(own, "word", "left").where("c > n OR class IS NOT NULL OR first"), "brown-known")
+    known = named.where("c > n OR class IS NOT NULL").select("block", "word", "c", "class")
+    follow = class_bigrams(docs, known.where("class IS NOT NULL"), items, classes)
+    sizes = class_sizes(named.where("first").select("word", "ending", "c", "class"), items, classes)
+    return Model(items, classes, follow, *sizes, size["n"], known)
 
 
-def score(docs: DataFrame, counted: DataFrame, model: Model) -> DataFrame:
+def score(docs: DataFrame, model: Model) -> DataFrame:
     """The digest columns for every row of blocked ``docs``."""
 
     def read(texts: pa.Table, known: pa.Table) -> pa.Table:
@@ -280,17 +425,17 @@ def score(docs: DataFrame, counted: DataFrame, model: Model) -> DataFrame:
         count = np.concatenate((known.column("c").to_numpy(), own_count))
         word, first = np.unique(word, return_index=True)
         count = count[first]
+        named = named_classes(known)
         rows = []
         for batch in out:
-            columns = model.score(batch.column("text"), word, count)
+            columns = model.score(batch.column("text"), word, count, *named)
             held = np.logical_not(batch.column("learn").to_numpy(zero_copy_only=False))
             total = np.full(batch.num_rows, model.tokens, np.int64)
             size, seen, base, mine = columns
             rows.append(pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(held), pa.array(size.astype(np.int64)), pa.array(seen), pa.array(total), pa.array(base), pa.array(mine)], names=[c.split()[0] for c in OUT.split(", ")]))
         return pa.Table.from_batches(rows) if rows else pa.table({c.split()[0]: pa.array([], t) for c, t in zip(OUT.split(", "), (pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64()))})
 
-    shared = counted.where("c > n").select("block", "word", "c")
-    return docs.groupBy("block").cogroup(shared.groupBy("block")).applyInArrow(read, OUT)
+    return docs.groupBy("block").cogroup(model.known.groupBy("block")).applyInArrow(read, OUT)
 
 
 def _own_counts(batches: list[pa.RecordBatch]) -> tuple[np.ndarray, np.ndarray]:
@@ -306,4 +451,4 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     configure(spark)
     docs = blocked(W.documents(spark, sf_dir))
     counted = count_words(spark, docs)
-    return score(docs, counted, learn(spark, docs, counted))
+    return score(docs, learn(spark, docs, counted))

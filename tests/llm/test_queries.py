@@ -152,6 +152,47 @@ def test_op1_distribution_sums_to_one(spark, folder):
         assert words_ + unseen + step[brown.CLASSES - 1] == pytest.approx(1, abs=1e-6)
 
 
+def test_op1_many_words_at_once_as_one_by_one():
+    import numpy as np
+    from staylens.llm import brown
+
+    rng = np.random.default_rng(4)
+    size, wide = 60, 2 * brown.CLASSES + 1
+    table = rng.poisson(0.05, (size, wide)).astype(float)
+    now = rng.integers(0, brown.CLASSES - 1, size)
+    m = rng.integers(20, 90, (brown.CLASSES, brown.CLASSES)).astype(float)
+    row, cell = np.nonzero(table)
+    found = brown.best_classes(m, row, cell, table[row, cell], now)
+    for i, c in enumerate(now):
+        follow, before, own = table[i, : brown.CLASSES], table[i, brown.CLASSES : -1], table[i, -1]
+        alone = m.copy()
+        alone[c] -= follow
+        alone[:, c] -= before
+        alone[c, c] -= own
+        assert found[i] == brown.best_class(alone, follow, before, own)
+
+
+def test_op1_rare_words_of_one_ending_get_their_own_classes(spark):
+    import numpy as np
+    from staylens.llm import brown
+
+    def hashed(words):
+        return brown.words_of(pa.array([" ".join(words)]))[0]
+
+    items = brown.Items(hashed(["the", "is", "to", "it"]))
+    classes = np.full(brown.END + 1, 4)  # all endings in class 4
+    classes[:4], classes[brown.END] = range(4), brown.CLASSES - 1
+    nouns, verbs = [f"n{i}zzzz" for i in range(40)], [f"v{i}zzzz" for i in range(40)]
+    texts = [f"the {w} is" for w in nouns] * 10 + [f"to {w} it" for w in verbs] * 10
+    docs = brown.blocked(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string"))
+    counts = np.ones((brown.CLASSES, brown.CLASSES))
+    counts[0, 5] = counts[5, 1] = counts[2, 6] = counts[6, 3] = 3000
+    counts[[0, 4, 2, 4], [4, 1, 4, 3]] = 400
+    own = {r["word"]: r["class"] for r in brown.word_classes(brown.contexts(docs, items, classes, 8), classes, counts).collect()}
+    assert {own[w] for w in hashed(nouns).view("int64").tolist()} == {5}
+    assert {own[w] for w in hashed(verbs).view("int64").tolist()} == {6}
+
+
 def test_op2(spark, folder):
     rows = rows_of(spark, "op2_substring_dedup", folder)
     assert same_rows(rows)
