@@ -17,9 +17,10 @@ by pair, where a lower bound of the difference (counts of hash buckets) leaves f
 pairs, and these are compared exactly. Nothing is sampled and no list is cut, so no
 link is lost; pairs inside a component are not enumerated.
 
-Null text has no shingles; such rows link with nothing. A null key takes no part
-and gets no component. Rows that share a key share a component; where their texts
-differ, each text's set stands for the key in lists, the smallest in comparisons.
+Null text has no shingles; such rows link with nothing. Rows whose key is null or
+repeated get an id from key and text, so each text has its own set, signature and
+comparison. op6 gives a null key no part and no component, and rows that share a key
+one component; ``one_of_each`` goes by rows and keeps one of each group.
 """
 
 from __future__ import annotations
@@ -50,6 +51,7 @@ PAIRS_A_BUCKET = 300
 SIGNATURE = 512  # buckets at most; a coarser signature only leaves more pairs to compare exactly
 BROADCAST_PAIRS = 500_000  # two keys each: 8 MB
 LIST_PART = 2048  # a longer list is scanned in pairs of parts
+HASHED = -(1 << 62)  # ids below are made from key and text
 _EMPTY = np.uint64(0xA0761D6478BD642F)
 
 
@@ -165,9 +167,26 @@ def may_link(a: bytes, b: bytes, na: int, nb: int) -> bool:
     return int(np.abs(fold(a, n) - fold(b, n)).sum()) * (100 + PERCENT) <= (100 - PERCENT) * (na + nb)
 
 
+def block_of(id):
+    """Neighbouring keys share a block; ids made from a hash are dealt to 4,096."""
+    return F.when(id < HASHED, -1 - F.pmod(id, F.lit(4096))).otherwise(F.floor(id / BLOCK_DOCS))
+
+
 def blocked(docs: DataFrame) -> DataFrame:
-    spread = -1 - F.pmod(F.xxhash64("text"), F.lit(4096))
-    return docs.select(F.coalesce(F.floor(F.col("doc_id") / BLOCK_DOCS), spread).alias("block"), F.col("doc_id").cast("bigint").alias("doc_id"), "text")
+    return docs.select(block_of(F.col("doc_id")).alias("block"), "doc_id", "text")
+
+
+def with_ids(spark: SparkSession, docs: DataFrame) -> DataFrame:
+    """``docs`` with ``row_id``: the key where one row alone has it, else a hash of key and text below ``HASHED``."""
+    key = F.col("doc_id").cast("bigint")
+    made = F.lit(HASHED - 1) - F.shiftrightunsigned(F.xxhash64(key, "text"), 2)
+    again = docs.where("doc_id IS NOT NULL").groupBy(key.alias("again")).agg(F.count("*").alias("rows")).where("rows > 1").select("again")
+    again = stored(spark, again, "set-again")
+    n = again.count()
+    if not n:
+        return docs.withColumn("row_id", F.coalesce(key, made))
+    both = docs.join(F.broadcast(again) if n <= BROADCAST_PAIRS else again, key == F.col("again"), "left")
+    return both.withColumn("row_id", F.when(F.col("again").isNull(), F.coalesce(key, made)).otherwise(made)).drop("again")
 
 
 def sizes(docs: DataFrame) -> DataFrame:
@@ -242,7 +261,7 @@ def compare(spark: SparkSession, docs: DataFrame, pairs: DataFrame) -> DataFrame
     docs = docs.join(F.broadcast(ids) if n_pairs <= BROADCAST_PAIRS else ids, "doc_id", "left_semi")
     salted = pairs.join(counts, "a").withColumn("salt", F.pmod(F.xxhash64("b"), F.col("salts")).cast("int"))
     wants = salted.select(F.col("b").alias("doc"), "a", "salt").unionByName(counts.select(F.col("a").alias("doc"), "a", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt")))
-    wants = wants.select(F.floor(F.col("doc") / BLOCK_DOCS).alias("block"), "doc", "a", F.pmod(F.xxhash64("a", "salt"), F.lit(buckets)).alias("bucket"), "salt")
+    wants = wants.select(block_of(F.col("doc")).alias("block"), "doc", "a", F.pmod(F.xxhash64("a", "salt"), F.lit(buckets)).alias("bucket"), "salt")
 
     def gather(texts: pa.Table, wanted: pa.Table) -> pa.Table:
         names, kinds = ["a", "doc", "bucket", "salt", "values"], [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary()]
@@ -334,8 +353,8 @@ def scan(entries: DataFrame, signs: DataFrame) -> DataFrame:
     return rows.withColumn("bucket", buckets).groupBy("bucket").applyInArrow(meet, "a bigint, b bigint").distinct()
 
 
-def grouped(spark: SparkSession, docs: DataFrame) -> DataFrame:
-    """(doc_id, n, component_id) for every row of ``docs`` (doc_id, text)."""
+def grouped(spark: SparkSession, docs: DataFrame, ties: DataFrame | None = None) -> DataFrame:
+    """(doc_id, n, component_id) for every row of ``docs`` (doc_id, text), where equal ids mean equal texts; ``ties`` (a, b) link as well."""
     docs = blocked(docs)
     text_bytes = docs.agg(F.sum(F.octet_length("text")).alias("b")).first()["b"] or 0
     rows = stored(spark, sizes(docs), "set-sizes")  # with signatures: a byte for each hash bucket, most of them 0 or 1
@@ -363,17 +382,46 @@ def grouped(spark: SparkSession, docs: DataFrame) -> DataFrame:
     rest = stored(spark, scan(stored(spark, named.join(mixed, "list"), "set-mixed"), signs), "set-rest")
     more = linked(compare(spark, docs, rest))
     edges = found.union(more).union(copies.select(F.col("rep").alias("a"), F.col("doc_id").alias("b")))
+    edges = edges.union(ties) if ties is not None else edges
     final = components(spark, edges)
     return rows.join(final, F.col("doc_id") == F.col("node"), "left").select("doc_id", "n", F.coalesce("label", "doc_id").alias("component_id"))
 
 
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     configure(spark)
-    return grouped(spark, W.documents(spark, sf_dir)).select("doc_id", F.col("n").alias("n_shingles"), "component_id")
+    return by_key(spark, W.documents(spark, sf_dir)).select("doc_id", F.col("n").alias("n_shingles"), "component_id")
+
+
+def by_key(spark: SparkSession, docs: DataFrame) -> DataFrame:
+    """(doc_id, n, component_id) for every row of ``docs`` (doc_id, text); the component is named by its smallest key."""
+    rows = with_ids(spark, docs.select("doc_id", "text"))
+    # Rows without key have sizes, but no part in the links.
+    part = rows.select(F.when(F.col("doc_id").isNotNull(), F.col("row_id")).alias("doc_id"), "text")
+    keys = stored(spark, rows.where(F.col("doc_id").isNotNull() & (F.col("row_id") < HASHED)).select("doc_id", "row_id").distinct(), "set-keys")
+    least = keys.groupBy("doc_id").agg(F.min("row_id").alias("a"))
+    ties = keys.join(least, "doc_id").where("a <> row_id").select("a", F.col("row_id").alias("b"))
+    found = grouped(spark, part, ties).select(F.col("doc_id").alias("row_id"), "n", F.col("component_id").alias("label"))
+    found = stored(spark, found.join(keys, "row_id", "left").withColumn("doc_id", F.coalesce("doc_id", "row_id")), "set-rows")
+    names = found.where(F.col("label") < HASHED).groupBy("label").agg(F.min("doc_id").alias("name"))
+    return found.join(names, "label", "left").select("doc_id", "n", F.coalesce("name", "label").alias("component_id"))
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose key names their component, with all columns; rows without key stay."""
-    found = grouped(spark, docs)
-    gone = stored(spark, found.where("component_id <> doc_id").select("doc_id").distinct(), "set-gone")
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    """One row of each group of ``docs``, with all columns: that of the smallest key, rows without key last; rows without words stay."""
+    columns = docs.columns
+    docs = with_ids(spark, docs)
+    found = stored(spark, grouped(spark, docs.select(F.col("row_id").alias("doc_id"), "text")), "set-rows")
+    made = stored(spark, docs.where(F.col("row_id") < HASHED).select("row_id", F.col("doc_id").cast("bigint").alias("key")).distinct(), "set-made")
+    named = found.where("n > 0").select("doc_id", "component_id").distinct().join(made, F.col("doc_id") == F.col("row_id"), "left")
+    order = F.when(F.col("row_id").isNull(), F.col("doc_id")).otherwise(F.col("key"))
+    named = named.select("doc_id", "component_id", F.struct(order.isNull().alias("none"), order.alias("key"), F.col("doc_id").alias("id")).alias("place"))
+    first = named.groupBy("component_id").agg(F.min("place").alias("first"))
+    gone = stored(spark, named.join(first.select("component_id", "first"), "component_id").where(F.col("doc_id") != F.col("first.id")).select(F.col("doc_id").alias("row_id")), "set-gone")
+    kept = docs.join(gone, "row_id", "left_anti")
+    if made.isEmpty():
+        return kept.select(*columns)
+    # Equal rows share an id: one of them stays, but for rows without words, which link with nothing.
+    bare = found.where("n = 0").select(F.col("doc_id").alias("row_id")).distinct()
+    again = kept.where(F.col("row_id") < HASHED)
+    one = again.join(bare, "row_id", "left_anti").groupBy("row_id").agg(F.min(F.struct(*columns)).alias("row")).select("row.*")
+    return kept.where(F.col("row_id") >= HASHED).select(*columns).unionByName(again.join(bare, "row_id", "left_semi").select(*columns)).unionByName(one)

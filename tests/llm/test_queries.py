@@ -338,6 +338,21 @@ def test_op6(spark, folder):
     assert found[-1]["component_id"] is None
 
 
+def test_repeated_and_null_keys_lose_no_link(spark):
+    rng = random.Random(8)
+    small, large, other = ([f"{a}{rng.randrange(10**6)}" for _ in range(n)] for a, n in (("s", 100), ("l", 300), ("o", 80)))
+
+    def near(words):
+        return " ".join(["changed", *words[1:]])
+
+    rows = [(1, " ".join(small)), (1, " ".join(large)), (2, near(small)), (3, near(large)), (4, " ".join(other)), (4, " ".join(other)), (None, near(other)), (None, "a b c d"), (None, "a b c d"), (5, None), (5, None)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    found = {(r["doc_id"], r["n"]): r["component_id"] for r in jaccard.by_key(spark, docs).collect()}
+    assert found == {(1, 97): 1, (1, 297): 1, (2, 97): 1, (3, 297): 1, (4, 77): 4, (None, 77): None, (None, 1): None, (5, 0): 5}
+    kept = [tuple(r) for r in jaccard.one_of_each(spark, docs).collect()]
+    assert Counter(kept) == Counter([(1, " ".join(small)), (1, " ".join(large)), (4, " ".join(other)), (None, "a b c d"), (5, None), (5, None)])
+
+
 def test_small_sets_share_every_subset_they_must():
     for s in range(1, jaccard.LIGHT + 1):
         for t in range(s, jaccard.LIGHT + 1):
