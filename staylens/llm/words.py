@@ -144,3 +144,27 @@ def remainder(key, n: int):
 
 def documents(spark: SparkSession, sf_dir: str, name: str = "documents") -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def tallies(counted, limit: int = 400_000) -> Iterator[pa.RecordBatch]:
+    """Add up (word, n) arrays of one task; what is held stays near ``limit`` words."""
+    held, size = [], 0
+
+    def merged():
+        return pa.concat_tables(held).group_by("word").aggregate([("n", "sum")]).rename_columns(["word", "n"])
+
+    for word, n in counted:
+        held.append(pa.table({"word": word.cast(pa.large_string()), "n": n.cast(pa.int64())}))
+        size += len(word)
+        if size > 2 * limit:
+            held = [merged()]
+            size = held[0].num_rows
+            if size > limit:
+                yield from _batches(held[0])
+                held, size = [], 0
+    if held:
+        yield from _batches(merged())
+
+
+def _batches(table: pa.Table) -> Iterator[pa.RecordBatch]:
+    return iter(table.cast(pa.schema([("word", pa.string()), ("n", pa.int64())])).combine_chunks().to_batches(max_chunksize=1 << 16))
