@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from staylens.llm import brown, decontaminate, html_blocks, importance, jaccard, langid, line_crf, pieces, pu_quality, secrets, superkmers
+from staylens.llm import brown, decontaminate, html_blocks, importance, jaccard, langid, line_crf, pieces, pu_quality, secrets, superkmers, variants
 
 QUERIES = {
     "op1_lm_scoring": brown.op1,
@@ -16,7 +16,8 @@ QUERIES = {
     "op9_quality_rules": line_crf.op9,
     "op10_quality_classifier": pu_quality.op10,
     "op12_importance_resampling": importance.op12,
+    "op13_spelling_variants": variants.op13,
 }
 
 #: The others learn, or compute what SQL can only spell out for small tables; tests hold them against plain versions.
-SQL = {"op2_substring_dedup": superkmers.SQL, "op4_decontamination": decontaminate.SQL, "op12_importance_resampling": importance.SQL}
+SQL = {"op2_substring_dedup": superkmers.SQL, "op4_decontamination": decontaminate.SQL, "op12_importance_resampling": importance.SQL, "op13_spelling_variants": variants.SQL}
