@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from staylens.llm import brown, decontaminate, html_blocks, importance, jaccard, langid, line_crf, pieces, pu_quality, secrets, superkmers, variants
+from staylens.llm import brown, decontaminate, html_blocks, importance, jaccard, langid, line_crf, pieces, pu_quality, secrets, superkmers, toxicity, variants
 
 QUERIES = {
     "op1_lm_scoring": brown.op1,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_html_extraction": html_blocks.op8,
     "op9_quality_rules": line_crf.op9,
     "op10_quality_classifier": pu_quality.op10,
+    "op11_toxicity": toxicity.op11,
     "op12_importance_resampling": importance.op12,
     "op13_spelling_variants": variants.op13,
 }
