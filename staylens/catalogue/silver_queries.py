@@ -172,6 +172,16 @@ def located_listings(spark, sf_dir):
     return lookup.skew_join(listings, located, ["facility_id"])
 
 
+def hot_listing_lookup(spark, sf_dir):
+    """Located listings where one listing holds a third of all observations."""
+    third = F.col("l_orderkey") % 3 == 0
+    listings = t.table(spark, sf_dir, "lineitem").select(
+        F.when(third, "P-1").otherwise(F.concat(F.lit("P-"), "l_partkey")).alias("facility_id"), "l_orderkey", "l_linenumber"
+    )
+    located = pick.latest_located_facility(t.facility_bronze(spark, sf_dir))
+    return lookup.skew_join(listings, located, ["facility_id"])
+
+
 def surrogate_key(spark, sf_dir):
     rows = t.booking_bronze(spark, sf_dir)
     return rows.select(
@@ -215,6 +225,16 @@ def silver_facility_detail(spark, sf_dir):
     return analyst.facility_detail_for_city(stays, t.facility_bronze(spark, sf_dir), "NATION_3")
 
 
+def airbnb_facility_detail(spark, sf_dir):
+    return analyst.facility_detail_for_city(airbnb_silver(spark, sf_dir), t.facility_bronze(spark, sf_dir), "NATION_3")
+
+
+def airbnb_bargains(spark, sf_dir):
+    return analyst.bargains(airbnb_silver(spark, sf_dir), 500.0).select(
+        "_pk", "price_per_adult_per_night", "quality_price_score", "distance_from_center_km"
+    )
+
+
 def bargains_by_score(spark, sf_dir):
     return analyst.bargains(booking_silver(spark, sf_dir), 500.0).select(
         "_pk", "price_per_adult_per_night", "quality_price_score"
@@ -288,6 +308,12 @@ QUERIES = {
         f"{t.with_tables('airbnb', 'facility')}, {_LOCATED} SELECT facility_id, scraped_at, num_adults, "
         "located.latitude, located.longitude FROM airbnb LEFT JOIN located USING (facility_id)",
     ),
+    "hot_listing_lookup": (
+        hot_listing_lookup,
+        f"{t.with_tables('facility')}, {_LOCATED}, listings AS (SELECT CASE WHEN l_orderkey % 3 = 0 THEN 'P-1' "
+        "ELSE 'P-' || l_partkey END AS facility_id, l_orderkey, l_linenumber FROM lineitem) SELECT facility_id, "
+        "l_orderkey, l_linenumber, located.latitude, located.longitude FROM listings LEFT JOIN located USING (facility_id)",
+    ),
     "surrogate_key": (
         surrogate_key,
         f"{t.with_tables('booking')} SELECT scraped_at, num_adults, total_price, {_pk('BOOK')} AS pk FROM booking",
@@ -309,6 +335,18 @@ QUERIES = {
         "f.amenity_pool, f.amenity_wifi, f.cancellation_policy FROM booking_silver s "
         "JOIN facility f USING (facility_id) WHERE s.city = 'NATION_3'",
     ),
+    "airbnb_facility_detail": (
+        airbnb_facility_detail,
+        f"WITH {_AIRBNB_CTES} SELECT s.facility_id, s.city, s.total_price, "
+        "s.price_per_night, s.rating AS search_rating, f.num_bedrooms, f.num_guests, f.is_superhost, "
+        "f.amenity_pool, f.amenity_wifi, f.cancellation_policy FROM airbnb_silver s "
+        "JOIN facility f USING (facility_id) WHERE s.city = 'NATION_3'",
+    ),
+    "airbnb_bargains": (
+        airbnb_bargains,
+        f"WITH {_AIRBNB_CTES} SELECT _pk, price_per_adult_per_night, quality_price_score, distance_from_center_km "
+        "FROM airbnb_silver WHERE price_per_adult_per_night < 500",
+    ),
     "bargains_by_score": (
         bargains_by_score,
         f"WITH {_BOOKING_CTES} SELECT _pk, price_per_adult_per_night, quality_price_score FROM booking_silver "

@@ -178,7 +178,19 @@ def pending_listings(spark, sf_dir):
 
 
 def pending_capped(spark, sf_dir):
-    return pending_listings(spark, sf_dir).orderBy("facility_id", "url").limit(20)
+    """The first 20 listings of the day's work list, as one run's budget."""
+    found = worklist.discover_listings(t.weekly_availability(spark, sf_dir))
+    return worklist.pending(found, _collected(spark, sf_dir), "2024-01-08", 20)
+
+
+def pending_given_ids(spark, sf_dir):
+    """The first 30 of the given ids, in their own order, that the day has not collected."""
+    bronze = t.weekly_availability(spark, sf_dir)
+    found = worklist.discover_facility_ids(bronze, GIVEN_IDS)
+    return worklist.pending(found, _collected(spark, sf_dir), "2024-01-08", 30)
+
+
+GIVEN_IDS = [f"U-{(37 * k) % 90}-{kind}" for k in range(60) for kind in ("view", "click", "view")]
 
 
 _PENDING = f"""{t.with_tables('weekly')} SELECT DISTINCT facility_id, url FROM weekly
@@ -251,6 +263,13 @@ QUERIES = {
     ),
     "pending_listings": (pending_listings, _PENDING),
     "pending_capped": (pending_capped, f"{_PENDING} ORDER BY facility_id, url LIMIT 20"),
+    "pending_given_ids": (
+        pending_given_ids,
+        f"{t.with_tables('weekly')}, given AS (SELECT id, row_number() OVER (ORDER BY min(pos)) - 1 AS rank FROM "
+        f"(SELECT unnest({GIVEN_IDS}) AS id, unnest(range({len(GIVEN_IDS)})) AS pos) GROUP BY id) "
+        "SELECT rank, id AS facility_id FROM given WHERE id NOT IN (SELECT facility_id FROM weekly "
+        "WHERE is_available AND scraped_at = '2024-01-08T00:00:00') ORDER BY rank LIMIT 30",
+    ),
     "availability_recovery": (
         availability_recovery,
         _alerts("'2024-01-15T00:00:00'") + " SELECT * FROM alerts WHERE search_area = 'Area1__Web'",

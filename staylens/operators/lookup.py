@@ -5,22 +5,20 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
-
-# A work list of this many narrow rows stays within a few MB on every executor.
-BROADCAST_ROWS = 50_000
-
-
-def fits_broadcast(table: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """Check, reading no more than ``max_rows + 1`` rows, that a table is small."""
-    return table.limit(max_rows + 1).count() <= max_rows
+from pyspark.sql import functions as F
 
 
 def skew_join(rows: DataFrame, lookup: DataFrame, on: Sequence[str], how: str = "left") -> DataFrame:
     """Join ``rows`` to a lookup (``left`` or ``inner``); one plan at every size.
 
-    The plan is chosen on measured shuffle sizes while it runs: a lookup that turns
-    out small is broadcast, and a partition that a heavy key (or many rows without
-    a key) makes large is split over several tasks, each reading the lookup rows
-    of that partition. ``staylens.session.REQUIRED_CONF`` turns both on.
+    Adaptive execution broadcasts a lookup that turns out small and splits a
+    partition that a heavy key (or many rows without a key) makes large, but only
+    where both sides of the join are shuffled for it. A lookup that comes out of an
+    aggregation on the same key is not: it stays in the aggregation's partitions. So
+    the join also compares a hash of the key, which no side is partitioned by: both
+    are shuffled once more, the lookup with one row per key, and may be split.
     """
-    return rows.join(lookup, list(on), how)
+    keys = list(on)
+    extra = F.xxhash64(*keys)
+    joined = rows.withColumn("_route", extra).join(lookup.withColumn("_route", extra), [*keys, "_route"], how)
+    return joined.drop("_route")

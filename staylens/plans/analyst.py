@@ -18,8 +18,10 @@ def facility_detail_for_city(silver: DataFrame, facilities: DataFrame, city: str
 
     A facility scraped several times repeats its stays, as the question asks.
     Both inputs are shuffled directly into the join, so adaptive execution can
-    split a hot facility on either side.
+    split a hot facility on either side. Listings without an id have no detail page:
+    their common placeholder joins nothing.
     """
+    silver = silver.where("facility_id <> 'unknown'")
     stays = silver if city is None else silver.where(F.col("city") == city)
     detail = facilities.select(
         "facility_id",

@@ -17,7 +17,6 @@ from pyspark.sql import types as T
 from staylens import schemas
 from staylens.functions import text
 from staylens.operators.coerce import coerce_to
-from staylens.operators.lookup import fits_broadcast
 from staylens.session import configure
 from staylens.sources import storage
 
@@ -95,7 +94,6 @@ def _keep_other_facilities(
     """Carry over facilities that an earlier write of the same runs already landed."""
     spark = landed.sparkSession
     runs = landed.select("scrape_date", "run").distinct()
-    runs = F.broadcast(runs) if fits_broadcast(runs) else runs
     stored = spark.read.schema(_file_schema(dataset, T.StringType())).parquet(root)
     same_run = stored.join(runs, ["scrape_date", "run"], "left_semi")
     new_keys = landed.select("scrape_date", "run", "facility_id").distinct()

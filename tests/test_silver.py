@@ -3,7 +3,8 @@ from pyspark.sql import functions as F
 
 from staylens import schemas
 from staylens.operators.coerce import align_to, coerce_to
-from staylens.operators.lookup import fits_broadcast, skew_join
+from staylens.operators.lookup import skew_join
+from staylens.operators.pick import latest_located_facility
 from staylens.operators.scale import with_min_max_scaled
 from staylens.plans import analyst, silver
 
@@ -141,7 +142,6 @@ def test_skew_join_equals_plain_join(spark):
         want = sorted(map(tuple, rows.join(lookup, ["k"], how).select("k", "v", "w").collect()), key=repr)
         plain = skew_join(rows, lookup, ["k"], how).select("k", "v", "w")
         assert sorted(map(tuple, plain.collect()), key=repr) == want
-    assert fits_broadcast(lookup, 1500) and not fits_broadcast(lookup, 1499)
 
 
 def test_heavy_key_is_spread_over_tasks(spark):
@@ -164,6 +164,43 @@ def test_heavy_key_is_spread_over_tasks(spark):
     assert max(r["count"] for r in per_task) < 150_000  # the heavy key alone has 190,000
 
 
+def test_heavy_key_is_split_beside_an_aggregated_lookup(spark):
+    """A third of all rows has one key, another sixth has none; the lookup is an aggregation on the key."""
+    rows = (
+        spark.range(240_000)
+        .select(F.when(F.col("id") % 3 == 0, "P-1").when(F.col("id") % 6 == 1, None).otherwise(F.concat(F.lit("P-"), F.col("id"))).alias("facility_id"), F.col("id").alias("v"))
+        .repartition(24)
+    )
+    facilities = spark.range(60_000).select(
+        F.concat(F.lit("P-"), F.col("id") % 20_000).alias("facility_id"), F.col("id").cast("string").alias("scraped_at"),
+        F.col("id").cast("double").alias("latitude"), F.lit(1.0).alias("longitude"),
+    )
+    conf = {
+        "spark.sql.shuffle.partitions": "12",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "16k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+    }
+    before = {key: spark.conf.get(key, None) for key in conf}
+    for key, value in conf.items():
+        spark.conf.set(key, value)
+    try:
+        joined = skew_join(rows, latest_located_facility(facilities), ["facility_id"])
+        counts = joined.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n"), F.count("latitude").alias("found"), F.sum("v").alias("v"))
+        tasks = counts.collect()
+        plan = counts._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+    assert "skew=true" in plan
+    assert sum(t.n for t in tasks) == 240_000
+    assert sum(t.found for t in tasks) == 80_000 + sum(1 for i in range(20_000) if i % 3 and i % 6 != 1)
+    sizes = sorted(t.n for t in tasks)
+    assert sizes[-1] <= 4 * sizes[len(sizes) // 2]
+
+
 def test_coerce_does_not_cut_fractions(spark):
     df = spark.createDataFrame([(3.7,), (4.0,), (None,)], "num_adults double")
     assert [r.num_adults for r in coerce_to(df, schemas.BOOKING_BRONZE).collect()] == [None, 4, None]
