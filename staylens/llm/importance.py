@@ -5,7 +5,7 @@ gain of a bucket compares the smoothed share of the target with that of the corp
 a text's weight is the sum of its features' gains, and Gumbel noise fixed by the key
 turns the weights into a draw without replacement.
 
-Head and tail vocabulary: one job counts all words; the ``HEAD`` most frequent ones
+Head and tail vocabulary: one job counts all words; up to ``HEAD`` of the most frequent
 go out with the exact crc32 state of the word and of the word after a space, the
 ``PAIRS`` most frequent of them with the state and bucket of every pair. A feature of
 head words is a look-up; a word of the tail takes its crc32 directly from its bytes. Both give the exact
@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 
 from staylens.llm import crc
 from staylens.llm import words as W
+from staylens.llm.components import stored
 from staylens.session import configure, scratch_path
 
 BUCKETS = 10_000
@@ -99,15 +100,26 @@ def buckets(head: Head, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.nda
     return all_buckets, np.concatenate((text, text[two], text[three])), np.bincount(text, minlength=len(texts))
 
 
-def frequent_words(docs: DataFrame, n: int = HEAD) -> list[str]:
-    """The ``n`` most frequent words of at most HEAD_BYTES bytes; counted per task before they are shuffled."""
+def frequent_words(spark: SparkSession, docs: DataFrame, n: int = HEAD) -> list[str]:
+    """At most ``n`` of the most frequent words of at most HEAD_BYTES bytes, counted per task before they are shuffled.
+
+    Counts fall into steps of a sixteenth of a doubling; all steps are taken whose words together are at most ``n``.
+    """
 
     def count(batches) -> Iterator[pa.RecordBatch]:
-        for tally in W.tallies(_counted(batches)):
-            yield tally
+        yield from W.tallies(_counted(batches))
 
     counts = docs.select("text").mapInArrow(count, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
-    return [r["word"] for r in counts.orderBy(F.desc("n"), "word").limit(n).collect()]
+    counts = stored(spark, counts.withColumn("step", F.floor(16 * F.log2("n"))), "importance-words")
+    steps = {r["step"]: r["n"] for r in counts.groupBy("step").agg(F.count("*").alias("n")).collect()}
+    least, taken = max(steps, default=0) + 1, 0
+    for step in sorted(steps, reverse=True):
+        taken += steps[step]
+        if taken > n:
+            break
+        least = step
+    words = counts.where(F.col("step") >= least).collect()
+    return [r["word"] for r in sorted(words, key=lambda r: (-r["n"], r["word"]))]
 
 
 def _counted(batches) -> Iterator[tuple[pa.Array, pa.Array]]:
@@ -197,7 +209,7 @@ def ranked(spark: SparkSession, scored: DataFrame) -> DataFrame:
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     configure(spark)
     docs, target = W.documents(spark, sf_dir), W.documents(spark, sf_dir, "benchmark")
-    head = Head(frequent_words(docs))
+    head = Head(frequent_words(spark, docs))
     gains = bucket_gains(spark, totals(docs, head), totals(target, head))
     scored = weigh(docs, head, gains).withColumn("score", F.col("weight") + noise(F.col("doc_id")))
     return ranked(spark, scored).select("doc_id", "n_features", "weight", "score", "rank")

@@ -69,10 +69,10 @@ def test_op12(spark, folder):  # noqa: F811
 def test_op12_same_with_any_head(spark, folder, monkeypatch):  # noqa: F811
     docs = W.documents(spark, folder)
     texts = pa.array([t for _, t, _ in ROWS])
-    full = importance.Head(importance.frequent_words(docs))
+    full = importance.Head(importance.frequent_words(spark, docs))
     want = [a.tolist() for a in importance.buckets(full, texts)]
     monkeypatch.setattr(importance, "PAIRS", 3)
-    for head in ([], importance.frequent_words(docs, 1), importance.frequent_words(docs, 40)):
+    for head in ([], importance.frequent_words(spark, docs, 1), importance.frequent_words(spark, docs, 40)):
         assert [a.tolist() for a in importance.buckets(importance.Head(head), texts)] == want
 
 
