@@ -89,6 +89,39 @@ def older_files(spark, sf_dir):
     return found.select("facility_id", "scraped_at", "search_area", "total_price", "latitude", "promo")
 
 
+def older_layout_append(spark, sf_dir):
+    """Runs landed beside the files of a lake laid out by area and date, of which nothing is moved."""
+    base = scratch_path(spark, "older-layout")
+    rows = t.weekly_availability(spark, sf_dir)
+    old = bronze.landed_columns(rows.where("scraped_at < '2024-01-08'"), bronze.BOOKING)
+    old.drop("run", *bronze.DIGEST).write.partitionBy("search_area", "scrape_date").parquet(bronze.BOOKING.root(base))
+    for _ in range(2):
+        bronze.append(rows.where("scraped_at >= '2024-01-08'"), bronze.BOOKING, base)
+    return _as_read(bronze.read(spark, bronze.BOOKING, base))
+
+
+def compacted_runs(spark, sf_dir):
+    """Runs landed by a stream in many small files, rewritten into few and read back."""
+    base = scratch_path(spark, "compacted")
+    t.weekly_availability(spark, sf_dir).repartition(4).write.parquet(f"{base}/raw")
+    rows = landing.raw_stream(spark, f"{base}/raw", spark.read.parquet(f"{base}/raw").schema, files_per_batch=2)
+    landing.start_landing(rows, bronze.BOOKING, base, f"{base}/checkpoint").awaitTermination()
+    bronze.compact(spark, bronze.BOOKING, base, files=2)
+    return _as_read(bronze.read(spark, bronze.BOOKING, base))
+
+
+def stream_redelivery(spark, sf_dir):
+    """The same scrapes delivered twice, cut into other files the second time, and once more as a batch."""
+    base = scratch_path(spark, "redelivery")
+    rows = t.weekly_availability(spark, sf_dir)
+    bronze.append(rows.where("search_area = 'Area0__Web'"), bronze.BOOKING, base)
+    for cut in ("facility_id", "total_price"):
+        rows.repartition(3, cut).write.mode("append").parquet(f"{base}/raw")
+        stream = landing.raw_stream(spark, f"{base}/raw", spark.read.parquet(f"{base}/raw").schema, files_per_batch=3)
+        landing.start_landing(stream, bronze.BOOKING, base, f"{base}/checkpoint").awaitTermination()
+    return _as_read(bronze.read(spark, bronze.BOOKING, base))
+
+
 def silver_snapshots(spark, sf_dir):
     """Two pushes: the lake shows the newest, the history both."""
     base = _land_weekly(spark, sf_dir, "snapshots")
@@ -221,6 +254,9 @@ QUERIES = {
         "CASE WHEN search_area <> 'Area0__Web' THEN 1.5::DOUBLE END AS latitude, "
         "CASE WHEN search_area <> 'Area0__Web' THEN 'x' END AS promo FROM weekly",
     ),
+    "older_layout_append": (older_layout_append, f"{t.with_tables('weekly')} {_WEEKLY_READ}"),
+    "compacted_runs": (compacted_runs, f"{t.with_tables('weekly')} {_WEEKLY_READ}"),
+    "stream_redelivery": (stream_redelivery, f"{t.with_tables('weekly')} {_WEEKLY_READ}"),
     "silver_snapshots": (
         silver_snapshots,
         f"{t.with_tables('weekly')}, {_NEWEST_STAYS}, keys AS (SELECT {_WEEKLY_PK} AS _pk FROM newest) "

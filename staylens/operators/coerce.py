@@ -39,8 +39,8 @@ def _default(target: T.DataType) -> Column:
     return F.lit(None).cast(target)
 
 
-def coerce_to(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """Exactly the columns of ``schema``: cast, reordered, absent ones filled."""
+def coerce_to(df: DataFrame, schema: T.StructType, *kept: str) -> DataFrame:
+    """Exactly the columns of ``schema``: cast, reordered, absent ones filled; then ``kept`` ones as they are."""
     present = {field.name: field.dataType for field in df.schema.fields}
     return df.select(
         *[
@@ -50,7 +50,8 @@ def coerce_to(df: DataFrame, schema: T.StructType) -> DataFrame:
                 else _default(field.dataType)
             ).alias(field.name)
             for field in schema.fields
-        ]
+        ],
+        *kept,
     )
 
 

@@ -10,7 +10,7 @@ from typing import Any
 from pyspark.sql import DataFrame, SparkSession
 
 from staylens.session import configure
-from staylens.sources import bronze, silver_store, storage
+from staylens.sources import bronze, silver_store
 
 SILVER = {
     "silver.airbnb.accommodations": silver_store.AIRBNB_FOLDER,
@@ -82,7 +82,7 @@ class DataLake:
         """Register what exists now; call again after new data has landed."""
         self.registered = []
         for dataset in bronze.DATASETS:
-            stored = storage.has_files(self.spark, dataset.root(self.base))
+            stored = bronze.exists(self.spark, dataset, self.base)
             for name in (dataset.name, dataset.view):
                 self._offer(
                     name, stored, lambda d=dataset: bronze.read(self.spark, d, self.base)

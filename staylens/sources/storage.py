@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
+
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 
@@ -25,27 +28,84 @@ def children(spark: SparkSession, location: str) -> list[str]:
     return sorted(n for n in names if not n.startswith(("_", ".")))
 
 
-def has_files(spark: SparkSession, location: str) -> bool:
-    """Whether a directory tree holds at least one Parquet file."""
+def matches(spark: SparkSession, pattern: str) -> bool:
+    """Whether any path matches a pattern."""
+    fs, path = _path(spark, pattern)
+    return bool(fs.globStatus(path))
+
+
+def directories(spark: SparkSession, pattern: str, root: str) -> list[str]:
+    """Directories that match a pattern and hold Parquet files themselves, relative to ``root``."""
+    fs, path = _path(spark, f"{pattern}/*.parquet")
+    start = fs.makeQualified(_path(spark, root)[1]).toString().rstrip("/") + "/"
+    return sorted({status.getPath().getParent().toString().removeprefix(start) for status in fs.globStatus(path) or []})
+
+
+def partition_directories(spark: SparkSession, location: str) -> list[str]:
+    """Every directory below ``location`` that holds Parquet files, relative to it."""
     fs, path = _path(spark, location)
     if not fs.exists(path):
-        return False
-    files = fs.listFiles(path, True)
+        return []
+    start = fs.makeQualified(path).toString().rstrip("/") + "/"
+    found, files = set(), fs.listFiles(path, True)
     while files.hasNext():
-        if files.next().getPath().getName().endswith(".parquet"):
-            return True
-    return False
+        file = files.next().getPath()
+        if file.getName().endswith(".parquet"):
+            found.add(file.getParent().toString().removeprefix(start))
+    return sorted(found)
+
+
+def count_files(spark: SparkSession, locations: list[str]) -> int:
+    """How many Parquet files some directories hold themselves."""
+    total = 0
+    for location in locations:
+        total += sum(name.endswith(".parquet") for name in children(spark, location))
+    return total
 
 
 def move(spark: SparkSession, source: str, target: str) -> None:
-    """Rename a directory, replacing the target."""
+    """Rename a directory to a place that must be free."""
     fs, path = _path(spark, target)
-    if fs.exists(path):
-        fs.delete(path, True)
+    fs.mkdirs(path.getParent())
     if not fs.rename(_path(spark, source)[1], path):
         raise OSError(f"could not move {source} to {target}")
 
 
+def read_text(spark: SparkSession, location: str) -> str:
+    fs, path = _path(spark, location)
+    stream = fs.open(path)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def create_text(spark: SparkSession, location: str, text: str) -> bool:
+    """Write a file that must not exist yet, all of it or nothing; False where it exists.
+
+    The text goes to a file of its own that is then renamed without overwriting,
+    which is atomic on HDFS and on local disks.
+    """
+    jvm = spark.sparkContext._jvm
+    fs, path = _path(spark, location)
+    if fs.exists(path):
+        return False
+    draft = jvm.org.apache.hadoop.fs.Path(path.getParent(), f".{path.getName()}.{uuid.uuid4().hex}")
+    stream = fs.create(draft, False)
+    stream.write(text.encode())
+    stream.close()
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(path.toUri(), spark.sparkContext._jsc.hadoopConfiguration())
+    options = spark.sparkContext._gateway.new_array(getattr(jvm.org.apache.hadoop.fs, "Options$Rename"), 0)
+    try:
+        context.rename(draft, path, options)
+        return True
+    except Py4JJavaError as error:
+        if "FileAlreadyExistsException" not in str(error.java_exception):
+            raise
+        fs.delete(draft, False)
+        return False
+
+
 def delete(spark: SparkSession, location: str) -> None:
     fs, path = _path(spark, location)
     fs.delete(path, True)

@@ -25,14 +25,14 @@ def start_landing(
 ) -> StreamingQuery:
     """Coerce and append everything that has arrived, then stop.
 
-    The files of one run may arrive in different micro-batches, so every batch
-    has its own part of the run. A batch that is replayed after a failure
-    overwrites the parts it wrote before: no row is lost or landed twice.
+    A run may arrive in any number of files and micro-batches, its files may be
+    delivered again, and a batch may be replayed after a failure: it lands once. The
+    stream is known by its query id, which its checkpoint keeps.
     """
 
     def land(batch: DataFrame, epoch: int) -> None:
-        if not batch.isEmpty():
-            bronze.append(batch, dataset, base, part=f".{epoch}")
+        stream = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or checkpoint
+        bronze.append_epoch(batch, dataset, base, stream, epoch)
 
     return (
         rows.writeStream.foreachBatch(land)
