@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from staylens import schemas
+from staylens.catalogue import page_queries as pg
 from staylens.catalogue import tables as t
 from staylens.functions import text
 from staylens.operators.coerce import coerce_to
@@ -207,6 +208,79 @@ def lake_count(spark, sf_dir):
     )
 
 
+def _raw_inputs(spark, sf_dir):
+    """Result pages, detail pages and calendars of every part, some of which cannot be placed."""
+    key = F.col("page")
+    pages = pg.booking_pages(spark, sf_dir).withColumns(
+        {
+            "search_area": F.when(key % 10 == 0, "").otherwise(F.col("search_area")),
+            "scraped_at": F.when(key % 10 == 1, "yesterday").otherwise(F.col("scraped_at")),
+            "checkin_date": F.when(key % 10 == 2, "2026-06-09").when(key % 10 == 3, "soon").otherwise(F.col("checkin_date")),
+        }
+    )
+    number = F.substring("facility_id", 3, 20).cast("bigint")
+    details = pg.facility_html(spark, sf_dir).withColumns(
+        {"url": F.col("facility_id"), "html": F.when(number % 8 == 3, "").otherwise(F.col("html"))}
+    ).withColumn("facility_id", F.when(number % 8 == 5, None).otherwise(F.col("facility_id")))
+    calendars = t.table(spark, sf_dir, "part").select(
+        F.concat(F.lit("K-"), "p_partkey").alias("facility_id"),
+        F.lit("2024-02-01T08:00:00").alias("scraped_at"),
+        F.when(F.col("p_partkey") % 6 == 0, '{"calendar_months":[{"days"')
+        .when(F.col("p_partkey") % 6 == 1, '{"error":"busy"}')
+        .otherwise('{"calendar_months":[{"days":[{"date":"2024-02-01","available":true,"min_nights":2.5}]}]}')
+        .alias("json"),
+    )
+    return (refresh.BOOKING_PAGES, pages), (refresh.FACILITY_PAGES, details), (refresh.CALENDARS, calendars)
+
+
+def landed_pages(spark, sf_dir):
+    """Pages, details and calendars landed twice; what of them bronze holds."""
+    base = scratch_path(spark, "landed")
+    found = []
+    for source, raw in _raw_inputs(spark, sf_dir):
+        for _ in range(2):
+            refresh.land(raw, source, base)
+        found.append(bronze.read(spark, source.dataset, base).select(F.lit(source.dataset.folder).alias("dataset"), "facility_id", "scraped_at"))
+    return found[0].union(found[1]).union(found[2])
+
+
+def landing_rejects(spark, sf_dir):
+    """What could not be landed, with the reason, after landing the same inputs twice."""
+    base = scratch_path(spark, "rejects")
+    found = []
+    for (source, raw), key in zip(_raw_inputs(spark, sf_dir), ("page", "url", "facility_id")):
+        for _ in range(2):
+            refresh.set_aside(raw, source, base)
+        rows = refresh.rejects(spark, source.dataset, base)
+        found.append(rows.select(F.lit(source.dataset.folder).alias("dataset"), "reason", F.col(key).cast("string").alias("input")))
+    return found[0].union(found[1]).union(found[2])
+
+
+def landing_accounts(spark, sf_dir):
+    """Inputs, of them extracted and rejected, and rows written, as the writes counted them."""
+    base = scratch_path(spark, "accounts")
+    counts = []
+    for source, raw in _raw_inputs(spark, sf_dir):
+        a = refresh.land(raw, source, base)
+        counts.append((source.dataset.folder, a.pages, a.extracted, a.rejected, a.rows))
+    return spark.createDataFrame(counts, "dataset string, pages bigint, extracted bigint, rejected bigint, row_count bigint")
+
+
+_RAW = f"""cards AS ({pg.QUERIES['booking_cards'][1]}),
+landed AS (
+  SELECT 'bronze/booking/accommodations' AS dataset, facility_id, '2026-05-01T10:00:00' AS scraped_at FROM cards
+  JOIN part ON name IN ('Casa <' || p_name || '> ' || p_partkey, 'Old ' || p_partkey) OR facility_id = 'g' || p_partkey WHERE p_partkey % 10 >= 4
+  UNION ALL SELECT 'bronze/airbnb/facility', 'F-' || p_partkey, '2026-05-09T10:00:00' FROM part WHERE p_partkey % 8 NOT IN (3, 5)
+  UNION ALL SELECT 'bronze/airbnb/availability', 'K-' || p_partkey, '2024-02-01T08:00:00' FROM part WHERE p_partkey % 6 > 1),
+turned_down AS (
+  SELECT 'bronze/booking/accommodations' AS dataset, list_extract(['no search area', 'unreadable timestamp',
+    'stay ends before it begins', 'unreadable stay dates'], CAST(p_partkey % 10 + 1 AS INTEGER)) AS reason,
+    CAST(p_partkey AS VARCHAR) AS input FROM part WHERE p_partkey % 10 < 4
+  UNION ALL SELECT 'bronze/airbnb/facility', CASE WHEN p_partkey % 8 = 3 THEN 'no page' ELSE 'no facility id' END, 'F-' || p_partkey
+  FROM part WHERE p_partkey % 8 IN (3, 5)
+  UNION ALL SELECT 'bronze/airbnb/availability', 'unreadable calendar', 'K-' || p_partkey FROM part WHERE p_partkey % 6 < 2)"""
+
+
 def stream_landing(spark, sf_dir):
     """Raw rows arriving as files, landed by a stream and read back."""
     base = scratch_path(spark, "stream-landing")
@@ -257,6 +331,15 @@ QUERIES = {
     "older_layout_append": (older_layout_append, f"{t.with_tables('weekly')} {_WEEKLY_READ}"),
     "compacted_runs": (compacted_runs, f"{t.with_tables('weekly')} {_WEEKLY_READ}"),
     "stream_redelivery": (stream_redelivery, f"{t.with_tables('weekly')} {_WEEKLY_READ}"),
+    "landed_pages": (landed_pages, f"WITH {_RAW} SELECT * FROM landed"),
+    "landing_rejects": (landing_rejects, f"WITH {_RAW} SELECT * FROM turned_down"),
+    "landing_accounts": (
+        landing_accounts,
+        f"WITH {_RAW} SELECT dataset, parts AS pages, parts - rejected AS extracted, rejected, row_count "
+        "FROM (SELECT dataset, count(*) AS row_count FROM landed GROUP BY dataset) "
+        "JOIN (SELECT dataset, count(*) AS rejected FROM turned_down GROUP BY dataset) USING (dataset), "
+        "(SELECT count(*) AS parts FROM part)",
+    ),
     "silver_snapshots": (
         silver_snapshots,
         f"{t.with_tables('weekly')}, {_NEWEST_STAYS}, keys AS (SELECT {_WEEKLY_PK} AS _pk FROM newest) "
