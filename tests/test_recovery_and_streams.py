@@ -146,3 +146,57 @@ def test_all_areas_share_one_aggregation(spark, tmp_path):
     alerts.collect()
     plan = alerts._jdf.queryExecution().executedPlan().toString()
     assert "ReusedExchange" in plan and "partial_min" in plan
+
+
+def written(root, before=()):
+    """Bytes of Parquet files below a folder that were not there before."""
+    files = {p: p.stat().st_size for p in root.rglob("*.parquet")}
+    return files, sum(size for p, size in files.items() if p not in before)
+
+
+def test_a_batch_writes_in_proportion_to_itself(spark, tmp_path):
+    """A large state, then small batches: none of them writes the state again."""
+    schema = history(spark, *ROWS).schema
+    big = spark.range(60_000).select(
+        F.concat(F.lit("f"), F.col("id")).alias("facility_id"), F.lit("Z__Q").alias("search_area"), F.lit(D1).alias("scraped_at"),
+        (F.col("id") % 2 == 0).alias("is_available"), F.sha2(F.col("id").cast("string"), 256).alias("name"),
+    )
+    for name in set(schema.names) - set(big.columns):
+        big = big.withColumn(name, F.lit(None).cast(schema[name].dataType))
+    out = tmp_path / "out"
+
+    def run(frame):
+        frame.select(*schema.names).coalesce(1).write.mode("append").parquet(str(tmp_path / "raw"))
+        rows = landing.raw_stream(spark, str(tmp_path / "raw"), schema)
+        streaming.start_recovery(rows, str(out), str(tmp_path / "cp")).awaitTermination()
+
+    run(big)
+    before, state_bytes = written(out)
+    sizes = []
+    for i in range(9):
+        run(history(spark, ROWS[i % len(ROWS)]))
+        before, new = written(out, before)
+        sizes.append(new)
+    large = [s for s in sizes if s > state_bytes / 10]
+    assert len(large) <= 1, (state_bytes, sizes)  # the one merge that takes the large delta in
+    from staylens.sources import commits
+
+    deltas = streaming._deltas(commits.state(spark, f"{out}/recovery"))
+    assert len(deltas) <= 2 * streaming.FAN
+
+
+def test_a_lost_batch_is_made_up_for(spark, tmp_path, monkeypatch):
+    from staylens.sources import commits, storage
+
+    schema = history(spark, *ROWS).schema
+    out, cp, raw = (str(tmp_path / n) for n in ("out", "cp", "raw"))
+    for at, row in enumerate(ROWS):
+        history(spark, row).coalesce(1).write.mode("append").parquet(raw)
+        if at % 2:
+            with monkeypatch.context() as m:
+                m.setattr(storage, "create_text", lambda *a: 1 / 0)
+                with pytest.raises(Exception):
+                    streaming.start_recovery(landing.raw_stream(spark, raw, schema), out, cp).awaitTermination()
+        streaming.start_recovery(landing.raw_stream(spark, raw, schema), out, cp).awaitTermination()
+    alerts = sorted((r.facility_id, r.first_unavailable_date, r.recovered_at) for r in streaming.read_alerts(spark, out).collect())
+    assert alerts == [("back", "2024-01-14", D2), ("other", "2024-01-14", D3), ("twice", "2024-01-14", D1)]
