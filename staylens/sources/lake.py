@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
-from contextlib import contextmanager
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,17 +16,18 @@ SILVER = {
 }
 HISTORY_PREFIX = "silver_history"
 
-# A quoted text or a comment is left alone; a dataset name is quoted, since a
-# dotted view name has to be one identifier; a quoted day unit loses its quotes;
-# round() works on the scaled binary value, as everywhere else in the lake.
+# What may not be touched: texts (raw ones too), quoted names, comments. Block comments
+# nest, so they are matched by their borders and counted in spark_sql_text.
 _SQL_PARTS = re.compile(
-    r"""(?P<skip>'(?:[^']|'')*'|`[^`]*`|--[^\n]*)
+    r"""(?P<skip>\b[rR]'[^']*'|\b[rR]"[^"]*"|'(?:\\.|''|[^'\\])*'|"(?:\\.|""|[^"\\])*"|`(?:``|[^`])*`|--[^\n]*)
+    |(?P<open>/\*)|(?P<close>\*/)
     |(?P<name>\b(?:bronze|silver|silver_history)\.(?:airbnb|booking)
         \.(?:accommodations|availability|facility)\b)
     |(?P<diff>\bdate_?diff\s*\(\s*)'(?P<unit>\w+)'
     |(?P<round>\bround\s*\()""",
-    re.I | re.X,
+    re.I | re.X | re.S,
 )
+_COMMENT_BORDER = re.compile(r"/\*|\*/")
 _ROUND = """
 CREATE OR REPLACE TEMPORARY FUNCTION round_scaled(x DOUBLE, places INT DEFAULT 0) RETURNS DOUBLE
 RETURN round(x * power(10D, places)) / power(10D, places)
@@ -36,29 +35,32 @@ RETURN round(x * power(10D, places)) / power(10D, places)
 
 
 def spark_sql_text(sql: str) -> str:
-    """Adapt dataset names, ``date_diff('day', ...)`` and ``round`` to Spark's SQL."""
+    """Adapt dataset names, ``date_diff('day', ...)`` and ``round`` to Spark's SQL.
 
-    def adapt(part: re.Match) -> str:
-        if part["name"]:
-            return f"`{part['name'].lower()}`"
-        if part["unit"]:
-            return f"{part['diff']}{part['unit'].upper()}"
-        if part["round"]:
-            return "round_scaled("
-        return part[0]
-
-    return _SQL_PARTS.sub(adapt, sql)
-
-
-@contextmanager
-def _null_on_error(spark: SparkSession) -> Iterator[None]:
-    """Resolve ad-hoc SQL with NULL for division by zero and unreadable casts."""
-    before = spark.conf.get("spark.sql.ansi.enabled")
-    spark.conf.set("spark.sql.ansi.enabled", "false")
-    try:
-        yield
-    finally:
-        spark.conf.set("spark.sql.ansi.enabled", before)
+    A dotted dataset name becomes one quoted identifier, a quoted day unit loses its
+    quotes, and ``round()`` works on the scaled binary value, as everywhere else in the
+    lake. Texts, quoted names and comments stay as they are.
+    """
+    out, at = [], 0
+    while part := _SQL_PARTS.search(sql, at):
+        out.append(sql[at : part.start()])
+        at = part.end()
+        if part["open"]:
+            depth = 1
+            while depth and (border := _COMMENT_BORDER.search(sql, at)):
+                depth += 1 if border[0] == "/*" else -1
+                at = border.end()
+            at = len(sql) if depth else at
+            out.append(sql[part.start() : at])
+        elif part["name"]:
+            out.append(f"`{part['name'].lower()}`")
+        elif part["unit"]:
+            out.append(f"{part['diff']}{part['unit'].upper()}")
+        elif part["round"]:
+            out.append("round_scaled(")
+        else:
+            out.append(part[0])
+    return "".join([*out, sql[at:]])
 
 
 class DataLake:
@@ -68,7 +70,11 @@ class DataLake:
     names; ``silver_history.*`` holds all snapshots, and every bronze dataset
     also has its short view name. A dataset without files is skipped and only
     fails when a query names it. The names belong to the session: the lake
-    registered last owns them.
+    registered last owns them, so lakes used side by side get a session each
+    (``spark.newSession()``).
+
+    Ad-hoc SQL gives NULL for a division by zero or an unreadable cast. It runs in a
+    copy of the session, whose own settings never change, whatever other threads do.
     """
 
     def __init__(self, spark: SparkSession, base: str) -> None:
@@ -110,5 +116,6 @@ class DataLake:
 
     def query(self, sql: str, args: dict[str, Any] | list[Any] | None = None) -> DataFrame:
         """Run SQL, with ``:name`` or ``?`` parameters, as a lazy DataFrame."""
-        with _null_on_error(self.spark):
-            return self.spark.sql(spark_sql_text(sql), args=args)
+        lenient = SparkSession(self.spark.sparkContext, self.spark._jsparkSession.cloneSession())
+        lenient.conf.set("spark.sql.ansi.enabled", "false")
+        return lenient.sql(spark_sql_text(sql), args=args)

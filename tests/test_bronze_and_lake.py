@@ -149,3 +149,37 @@ def test_rejects_are_set_aside(spark):
     good, bad = refresh.split_rejects(df)
     assert [r.facility_id for r in good.collect()] == ["1"]
     assert sorted(r.facility_id for r in bad.collect()) == ["2", "3", "4"]
+
+
+def test_sql_text_leaves_comments_and_quotes_alone():
+    for kept in (
+        "/* bronze.airbnb.facility /* round(1) */ silver.booking.accommodations */",
+        '"bronze.airbnb.facility"', "`silver.airbnb.accommodations`", "r'\\'", "'it\\'s round(2)'", "-- round(3)", "/* never closed round(4)",
+    ):
+        assert spark_sql_text(f"SELECT 1 {kept}") == f"SELECT 1 {kept}"
+    assert spark_sql_text("SELECT r'\\', round(x) /* a */ FROM silver.airbnb.accommodations") == (
+        "SELECT r'\\', round_scaled(x) /* a */ FROM `silver.airbnb.accommodations`"
+    )
+
+
+def test_two_lakes_and_the_session_do_not_disturb_each_other(spark, tmp_path):
+    from concurrent.futures import ThreadPoolExecutor
+
+    lakes = []
+    for name, price in (("a", "10"), ("b", "20")):
+        base = str(tmp_path / name)
+        bronze.append(rows(spark, ("1", "A", "2024-01-15T08:00:00", price, True)), bronze.BOOKING, base)
+        lakes.append(DataLake(spark.newSession(), base))
+
+    def ask(lake):
+        return [lake.query("SELECT max(total_price), max(total_price / 0) FROM bronze.booking.accommodations").first()[:] for _ in range(5)]
+
+    def strict(_):
+        with pytest.raises(Exception, match="DIVIDE_BY_ZERO"):
+            spark.sql("SELECT 1 / 0").collect()
+
+    with ThreadPoolExecutor(4) as pool:
+        answers = [pool.submit(ask, lake) for lake in lakes]
+        list(pool.map(strict, range(5)))
+    assert [set(a.result()) for a in answers] == [{(10.0, None)}, {(20.0, None)}]
+    assert spark.conf.get("spark.sql.ansi.enabled") == "true"
