@@ -14,8 +14,9 @@ A space is written as U+2581 in the piece table; a character that no piece cover
 and a U+2581 of the text itself, becomes its UTF-8 bytes. Decoding joins pieces and
 bytes and drops the leading space, which gives back the whole text.
 
-The units that a block of documents holds are listed once; their encodings return
-to the block, where the texts are put together. The piece table is broadcast below
+The units that a block of documents holds are listed once. The encodings of at most
+``HEAD`` units that most blocks hold go out to every task; those of the others return to
+their blocks, where the texts are put together. The piece table is broadcast below
 ``BROADCAST_PIECES`` rows, else joined by shuffle. Null text is empty: its only
 unit is the leading space.
 """
@@ -40,6 +41,8 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MAX_UNIT = 48  # a longer unit is solved outside the lattice: its paths would grow with the square of its length
 BROADCAST_PIECES = 300_000
 BLOCK_DOCS = 2048
+HEAD = 150_000  # units of at most HEAD_CHARS characters: some megabytes
+HEAD_CHARS = 32
 GATHER = "spark.sql.objectHashAggregate.sortBased.fallbackThreshold"
 SPACE = "▁"
 OWN = "\ue000"  # stands for a U+2581 of the text, which is no space
@@ -108,11 +111,11 @@ class Pieces:
 
 
 def solve(words: DataFrame, pieces: Pieces, table: DataFrame, tasks: int) -> DataFrame:
-    """(unit, ids) for the distinct units in ``words`` (unit), dealt once to ``tasks`` tasks."""
+    """(unit, ids) for ``words`` (unit), each unit once, dealt to ``tasks`` tasks."""
     size = F.char_length("unit")
 
     # One explode for the start and one for the length: both run in generated code.
-    starts = words.repartition(tasks, "unit").distinct().withColumn("lattice", F.translate("unit", " " + SPACE, SPACE + OWN)).withColumn("s", F.explode(F.sequence(F.lit(0), size - 1)))
+    starts = words.repartition(tasks, "unit").withColumn("lattice", F.translate("unit", " " + SPACE, SPACE + OWN)).withColumn("s", F.explode(F.sequence(F.lit(0), size - 1)))
     starts = starts.select("unit", "s", F.substring("lattice", F.col("s") + 1, F.lit(pieces.longest)).alias("tail"))
     edges = starts.withColumn("length", F.explode(F.sequence(F.lit(1), F.char_length("tail"))))
     edges = edges.select("unit", "s", (F.col("s") + F.col("length")).alias("e"), F.substring("tail", F.lit(1), F.col("length")).alias("piece"))
@@ -165,7 +168,7 @@ def walk(unit: str, known: dict[str, tuple[float, int]], pieces: Pieces) -> list
 
 
 def solve_long(words: DataFrame, pieces: Pieces, tasks: int) -> DataFrame:
-    """(unit, ids) for the distinct units in ``words`` (unit), however long."""
+    """(unit, ids) for ``words`` (unit), each unit once, however long."""
     known = {p: (s, i) for p, i, s in pieces.rows}
 
     def read(batches) -> Iterator[pa.RecordBatch]:
@@ -173,7 +176,53 @@ def solve_long(words: DataFrame, pieces: Pieces, tasks: int) -> DataFrame:
             ids = [walk(unit, known, pieces) for unit in batch.column("unit").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("unit"), pa.array(ids, pa.list_(pa.int32()))], names=["unit", "ids"])
 
-    return words.repartition(tasks, "unit").distinct().mapInArrow(read, "unit string, ids array<int>")
+    return words.repartition(tasks, "unit").mapInArrow(read, "unit string, ids array<int>")
+
+
+def _packed(table: pa.Table) -> bytes:
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, table.schema) as writer:
+        writer.write_table(table)
+    return sink.getvalue().to_pybytes()
+
+
+def _unpacked(data: bytes) -> pa.Table:
+    return pa.ipc.open_stream(data).read_all()
+
+
+def _one(column: pa.ChunkedArray) -> pa.Array:
+    """All chunks of a column as one array."""
+    whole = column.combine_chunks()
+    return whole.chunk(0) if isinstance(whole, pa.ChunkedArray) else whole
+
+
+class Answers:
+    """Units with their ids, and whether the ids of each give it back."""
+
+    def __init__(self, units: pa.Array, ids: pa.Array, back: dict[int, bytes]):
+        self.units = units.to_pylist()
+        self.flat = ids.flatten().to_numpy(zero_copy_only=False)
+        self.size = ids.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+        begin = np.cumsum(self.size) - self.size
+        spelled = (b"".join(map(back.__getitem__, self.flat[b : b + n].tolist())) for b, n in zip(begin.tolist(), self.size.tolist()))
+        self.whole = np.fromiter((s == u.encode() for s, u in zip(spelled, self.units)), bool, len(self.units))
+
+
+def _head(kinds: DataFrame, solved: DataFrame, n: int) -> tuple[DataFrame, pa.Table]:
+    """The units listed most often, at most ``n`` of them, as a condition table and with their ids.
+
+    All numbers of listings are taken whose units together are at most ``n``.
+    """
+    short = kinds.where(F.char_length("unit") <= HEAD_CHARS)
+    times = {r["times"]: r["n"] for r in short.groupBy("times").agg(F.count("*").alias("n")).collect()}
+    least, taken = max(times, default=0) + 1, 0
+    for number in sorted(times, reverse=True):
+        taken += times[number]
+        if taken > n or number == 1:
+            break
+        least = number
+    chosen = short.where(F.col("times") >= least).select("unit")
+    return chosen, solved.join(F.broadcast(chosen), "unit").select("unit", "ids").toArrow()
 
 
 def encode(spark: SparkSession, docs: DataFrame, pieces: Pieces | None = None) -> DataFrame:
@@ -195,45 +244,54 @@ def encode(spark: SparkSession, docs: DataFrame, pieces: Pieces | None = None) -
                     yield pa.RecordBatch.from_arrays([pa.array([block] * len(part), pa.int64()), pa.array(part, pa.string())], names=["block", "unit"])
 
     named = stored(spark, docs.select("block", "text").mapInArrow(listed, "block bigint, unit string"), "unit-lists")
+    kinds = stored(spark, named.groupBy("unit").agg(F.count("*").alias("times")), "unit-kinds")
     tasks = max(8, named.count() // UNITS_A_TASK + 1)
     before = spark.conf.get(GATHER)
     spark.conf.set(GATHER, GROUPS_IN_MEMORY)
     try:
         short = F.char_length("unit") <= MAX_UNIT
-        solved = solve(named.where(short).select("unit"), pieces, pieces.table(spark), tasks)
-        solved = stored(spark, solved.unionByName(solve_long(named.where(~short).select("unit"), pieces, max(8, tasks // 8))), "units")
+        solved = solve(kinds.where(short).select("unit"), pieces, pieces.table(spark), tasks)
+        solved = stored(spark, solved.unionByName(solve_long(kinds.where(~short).select("unit"), pieces, max(8, tasks // 8))), "units")
     finally:
         spark.conf.set(GATHER, before)
-    answers = named.join(solved, "unit").select("block", "unit", "ids")
+    chosen, sent = _head(kinds, solved, HEAD)
+    answers = named.join(F.broadcast(chosen), "unit", "left_anti").join(solved, "unit").select("block", "unit", "ids")
+    sent = spark.sparkContext.broadcast(_packed(sent))
+    cache: list[tuple[Answers, dict[str, int]]] = []
     back = pieces.bytes_of()
-    kinds = pa.schema([("doc_id", pa.int64()), ("n_ids", pa.int64()), ("ids", pa.list_(pa.int32())), ("round_trip", pa.bool_())])
+    layout = pa.schema([("doc_id", pa.int64()), ("n_ids", pa.int64()), ("ids", pa.list_(pa.int32())), ("round_trip", pa.bool_())])
 
     def put_together(texts: pa.Table, answers: pa.Table) -> pa.Table:
-        listed_units = answers.column("unit").to_pylist()  # one that several tasks listed stands here as often
-        place = {u: i for i, u in enumerate(listed_units)}
-        lists = answers.column("ids").combine_chunks()
-        lists = lists.chunk(0) if isinstance(lists, pa.ChunkedArray) else lists
-        flat = lists.flatten().to_numpy(zero_copy_only=False)
-        size = lists.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+        if not cache:  # once for a task
+            table = _unpacked(sent.value)
+            head = Answers(_one(table.column("unit")), _one(table.column("ids")), back)
+            cache.append((head, {u: i for i, u in enumerate(head.units)}))
+        head, place = cache[0]
+        tail = Answers(_one(answers.column("unit")), _one(answers.column("ids")), back)
+        first = len(head.units)
+        other = {u: i for i, u in enumerate(tail.units, first)}  # one that several tasks listed stands here as often
+        flat = np.concatenate((head.flat, tail.flat))
+        size = np.concatenate((head.size, tail.size))
         begin = np.cumsum(size) - size
-        spelled = [b"".join(map(back.__getitem__, flat[b : b + n].tolist())) for b, n in zip(begin.tolist(), size.tolist())]
         # A text comes back where its units cover it and every unit comes back.
-        whole = np.array([s == u.encode() for s, u in zip(spelled, listed_units)], bool)
+        whole = np.concatenate((head.whole, tail.whole))
         out = []
         for batch in W.chunks(texts.to_batches()):
             rows, trip, counts = [], [], []
             for text in batch.column("text"):
                 text = text.as_py() or ""
                 names = units(text, cut)
-                rows.append(np.fromiter(map(place.__getitem__, names), np.int64, len(names)))
+                places = list(map(place.get, names))
+                places = [other[u] if i is None else i for i, u in zip(places, names)]
+                rows.append(np.array(places, np.int64))
                 trip.append(bool(whole[rows[-1]].all()) and sum(map(len, names)) == len(text) + 1)
                 counts.append(int(size[rows[-1]].sum()))
             every = np.concatenate(rows)
             where, _ = W.flat(begin[every], begin[every] + size[every])
             ends = np.concatenate(([0], np.cumsum(counts))).astype(np.int32)
             ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(flat[where].astype(np.int32)))
-            out.append(pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(counts, pa.int64()), ids, pa.array(trip)], schema=kinds))
-        return pa.Table.from_batches(out, schema=kinds)
+            out.append(pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(counts, pa.int64()), ids, pa.array(trip)], schema=layout))
+        return pa.Table.from_batches(out, schema=layout)
 
     return docs.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(put_together, "doc_id bigint, n_ids bigint, ids array<int>, round_trip boolean")
 
