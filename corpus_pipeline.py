@@ -49,7 +49,7 @@ STAGES = [
     ("SentencePiece encoding", encoding),
 ]
 
-#: SQL cannot express the learned classifier or the lattice; tests hold each stage against a plain version.
+#: SQL cannot express the learned classifier or the lattice; the operators of the stages have plain versions in the tests.
 ORACLE_SQL = None
 
 
