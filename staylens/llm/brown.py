@@ -55,13 +55,27 @@ def blocked(docs: DataFrame) -> DataFrame:
     )
 
 
+class Tokens:
+    """Words of lower-cased texts: where they stand and in which text; ``n`` texts."""
+
+    def __init__(self, column: pa.Array):
+        data, off = W.raw(column)
+        self.data, self.n = W.LOWER[data], len(off) - 1
+        self.start, self.end, self.text = W.spans(self.data, off)
+
+    def words(self) -> np.ndarray:
+        return W.hashes(self.data, self.start, self.end)
+
+    def endings(self, at=slice(None)) -> np.ndarray:
+        """The endings of the words ``at`` ascending places."""
+        start, end = self.start[at], self.end[at]
+        return (W.hashes(self.data, np.maximum(start, end - SUFFIX_BYTES), end, 3) % np.uint64(SUFFIXES)).astype(np.int32)
+
+
 def words_of(column: pa.Array):
     """Hash, ending and text number of every word, and the number of texts."""
-    data, off = W.raw(column)
-    data = W.LOWER[data]
-    start, end, text = W.spans(data, off)
-    ending = W.hashes(data, np.maximum(start, end - SUFFIX_BYTES), end, 3) % np.uint64(SUFFIXES)
-    return W.hashes(data, start, end), ending.astype(np.int32), text, len(off) - 1
+    tokens = Tokens(column)
+    return tokens.words(), tokens.endings(), tokens.text, tokens.n
 
 
 def word_rows(docs: DataFrame) -> DataFrame:
@@ -69,12 +83,16 @@ def word_rows(docs: DataFrame) -> DataFrame:
 
     def read(batches) -> Iterator[pa.RecordBatch]:
         for batch in W.chunks(batches, limit=COUNT_BYTES):
-            word, ending, text, _ = words_of(batch.column("text"))
+            tokens = Tokens(batch.column("text"))
+            word, text = tokens.words(), tokens.text
             block = batch.column("block").to_numpy()[text]
             _, first, which = np.unique(W.mix(word + W.mix(block.astype(np.uint64))), return_index=True, return_inverse=True)
             learn = batch.column("learn").to_numpy(zero_copy_only=False)[text]
             n = np.bincount(which, weights=learn, minlength=len(first)).astype(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(block[first]), pa.array(word[first].view(np.int64)), pa.array(ending[first]), pa.array(n)], names=["block", "word", "ending", "n"])
+            ending = np.empty(len(first), np.int32)
+            order = np.argsort(first)
+            ending[order] = tokens.endings(first[order])
+            yield pa.RecordBatch.from_arrays([pa.array(block[first]), pa.array(word[first].view(np.int64)), pa.array(ending), pa.array(n)], names=["block", "word", "ending", "n"])
 
     return docs.select("block", "text", "learn").mapInArrow(read, "block bigint, word bigint, ending int, n bigint")
 
@@ -86,11 +104,16 @@ class Items:
         self.order = np.argsort(frequent)
         self.sorted = frequent[self.order]
 
-    def of(self, word: np.ndarray, ending: np.ndarray) -> np.ndarray:
+    def rank(self, word: np.ndarray) -> np.ndarray:
+        """The items of frequent words, -1 for others."""
         if not len(self.sorted):
-            return FREQUENT + ending.astype(np.int64)
+            return np.full(len(word), -1, np.int64)
         at = np.minimum(np.searchsorted(self.sorted, word), len(self.sorted) - 1)
-        return np.where(self.sorted[at] == word, self.order[at], FREQUENT + ending)
+        return np.where(self.sorted[at] == word, self.order[at], -1)
+
+    def of(self, word: np.ndarray, ending: np.ndarray) -> np.ndarray:
+        item = self.rank(word)
+        return np.where(item >= 0, item, FREQUENT + ending.astype(np.int64))
 
 
 def bigrams(docs: DataFrame, items: Items) -> DataFrame:
@@ -303,12 +326,15 @@ def word_classes(packed: DataFrame, classes: np.ndarray, counts: np.ndarray) ->
     return packed.groupBy("bucket").applyInArrow(move, "word bigint, class bigint")
 
 
-def class_of(items: Items, classes: np.ndarray, word: np.ndarray, ending: np.ndarray, named: np.ndarray, own: np.ndarray) -> np.ndarray:
+def class_of(items: Items, classes: np.ndarray, word: np.ndarray, tokens: Tokens, named: np.ndarray, own: np.ndarray) -> np.ndarray:
     """The class of each word: its own where the sorted ``named`` words hold it, else that of its item."""
-    found = classes[items.of(word, ending)]
+    item = items.rank(word)
+    found = np.where(item >= 0, classes[item], -1)
     if len(named):
         at = np.minimum(np.searchsorted(named, word), len(named) - 1)
         found = np.where(named[at] == word, own[at], found)
+    rest = np.flatnonzero(found < 0)
+    found[rest] = classes[FREQUENT + tokens.endings(rest)]
     return found
 
 
@@ -327,8 +353,8 @@ def class_bigrams(docs: DataFrame, known: DataFrame, items: Items, classes: np.n
         named = named_classes(known)
         sums = np.zeros(CLASSES * CLASSES)
         for batch in W.chunks(texts.to_batches()):
-            word, ending, text, n = words_of(batch.column("text"))
-            line, _, _ = with_ends(class_of(items, classes, word, ending, *named), text, n, CLASSES - 1)
+            tokens = Tokens(batch.column("text"))
+            line, _, _ = with_ends(class_of(items, classes, tokens.words(), tokens, *named), tokens.text, tokens.n, CLASSES - 1)
             sums += np.bincount(line[:-1] * CLASSES + line[1:], minlength=CLASSES * CLASSES)
         some = np.flatnonzero(sums)
         return pa.table({"key": some, "n": sums[some]})
@@ -355,13 +381,13 @@ class Model:
     def __getstate__(self):
         return {k: v for k, v in self.__dict__.items() if k != "known"}
 
-    def score(self, column: pa.Array, known: np.ndarray, count: np.ndarray, named: np.ndarray, own: np.ndarray):
-        """n_tokens, n_known, base and class score of each text; ``known`` are sorted words with their counts, ``named`` those with a class of their own."""
-        word, ending, text, n = words_of(column)
-        word = word.view(np.int64)
+    def score(self, column: pa.Array, word: np.ndarray, known: np.ndarray, count: np.ndarray, named: np.ndarray, own: np.ndarray):
+        """n_tokens, n_known, base and class score of each text with its hashed ``word``; ``known`` are sorted words with their counts, ``named`` those with a class of their own."""
+        tokens = Tokens(column)
+        text, n = tokens.text, tokens.n
         at = np.minimum(np.searchsorted(known, word), max(len(known) - 1, 0))
         c = np.where(known[at] == word, count[at], 0) if len(known) else np.zeros(len(word), np.int64)
-        classes = class_of(self.items, self.classes, word.view(np.uint64), ending, named, own)
+        classes = class_of(self.items, self.classes, word.view(np.uint64), tokens, named, own)
         logs = np.log10(c + 0.5)
         line, place, close = with_ends(classes, text, n, CLASSES - 1)
         step = self.step[line[:-1], line[1:]]
@@ -388,11 +414,11 @@ def class_sizes(vocabulary: DataFrame, items: Items, classes: np.ndarray) -> tup
 
 
 def count_words(spark: SparkSession, docs: DataFrame) -> DataFrame:
-    """(block, word, ending, n, c, first): c is the count over all blocks, first marks one row of each word. Written to the shared folder."""
+    """(block, word, ending, n, c, first) of learnt words: c is the count over all blocks, first marks one row of each word. Written to the shared folder."""
     path = scratch_path(spark, "brown-words")
     same = Window.partitionBy("word")
     rows = word_rows(docs).select("*", F.sum("n").over(same).alias("c"), (F.row_number().over(same.orderBy("block")) == 1).alias("first"))
-    rows.write.parquet(path)
+    rows.where("c > 0").write.parquet(path)
     return spark.read.parquet(path)
 
 
@@ -420,15 +446,16 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     def read(texts: pa.Table, known: pa.Table) -> pa.Table:
         out = list(W.chunks(texts.to_batches()))
         # Counts of words that no other block holds are the block's own.
-        own_word, own_count = _own_counts(out)
+        words = [Tokens(batch.column("text")).words().view(np.int64) for batch in out]
+        own_word, own_count = _own_counts(out, words)
         word = np.concatenate((known.column("word").to_numpy(), own_word))
         count = np.concatenate((known.column("c").to_numpy(), own_count))
         word, first = np.unique(word, return_index=True)
         count = count[first]
         named = named_classes(known)
         rows = []
-        for batch in out:
-            columns = model.score(batch.column("text"), word, count, *named)
+        for batch, mine in zip(out, words):
+            columns = model.score(batch.column("text"), mine, word, count, *named)
             held = np.logical_not(batch.column("learn").to_numpy(zero_copy_only=False))
             total = np.full(batch.num_rows, model.tokens, np.int64)
             size, seen, base, mine = columns
@@ -438,13 +465,13 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     return docs.groupBy("block").cogroup(model.known.groupBy("block")).applyInArrow(read, OUT)
 
 
-def _own_counts(batches: list[pa.RecordBatch]) -> tuple[np.ndarray, np.ndarray]:
+def _own_counts(batches: list[pa.RecordBatch], words: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """Words of the learning texts of a block and how often they occur there."""
-    words = []
-    for batch in batches:
-        part = batch.filter(batch.column("learn"))
-        words.append(words_of(part.column("text"))[0].view(np.int64))
-    return np.unique(np.concatenate(words) if words else np.zeros(0, np.int64), return_counts=True)
+    learnt = [np.zeros(0, np.int64)]
+    for batch, word in zip(batches, words):
+        _, _, text = W.spans(*W.raw(batch.column("text")))
+        learnt.append(word[batch.column("learn").to_numpy(zero_copy_only=False)[text]])
+    return np.unique(np.concatenate(learnt), return_counts=True)
 
 
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -8,6 +8,7 @@ text counts as an empty one. Memory is bounded by the bytes of one chunk
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -16,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 CHUNK_BYTES = 3 << 19
-BLOCK_BYTES = 1 << 19
+HASH_BYTES = 1 << 16  # bytes whose running sums are held at once
 
 # Separators of the word pattern [^\x20\x09-\x0D]+.
 SOLID = np.ones(256, bool)
@@ -89,22 +90,39 @@ def flat(start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.arange(int(size.sum())) + np.repeat(start - first, size), first
 
 
+@lru_cache(8)
+def _powers(seed: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the seed's odd factor modulo 2**64 for the places of one block, and their inverses."""
+    prime = 0x100000001B3 + 2 * seed
+    return _power_row(prime, HASH_BYTES), _power_row(pow(prime, -1, 1 << 64), HASH_BYTES)
+
+
+def _power_row(base: int, size: int) -> np.ndarray:
+    row = np.full(size, base, np.uint64)
+    row[:1] = 1
+    return np.cumprod(row)
+
+
 def hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray, seed: int = 0) -> np.ndarray:
-    """A 64-bit hash of each span's bytes, the same wherever the bytes stand."""
+    """A 64-bit hash of each span's bytes, the same wherever the bytes stand; the spans ascend.
+
+    A span's polynomial is the difference of two running sums over its block of
+    bytes, brought back to the span's first byte by the inverse power: exact modulo 2**64.
+    """
     out = np.empty(len(start), np.uint64)
     values, at = _byte_values(seed), 0
-    prime = np.uint64(0x100000001B3 + 2 * seed)
-    total = np.cumsum(end - start)
     while at < len(start):
-        done = total[at - 1] if at else 0
-        to = max(int(np.searchsorted(total, done + BLOCK_BYTES, side="right")), at + 1)
-        s, e = start[at:to], end[at:to]
-        where, first = flat(s, e)
-        power = np.full(int((e - s).max()) + 1, prime)
-        power[0] = 1
-        power = np.cumprod(power)
-        within = where - np.repeat(s, e - s)
-        out[at:to] = np.add.reduceat(values[data[where]] * power[within], first) + mix((e - s).astype(np.uint64))
+        low = int(start[at])
+        to = max(int(np.searchsorted(end, low + HASH_BYTES - 1, side="right")), at + 1)
+        s, e = start[at:to] - low, end[at:to] - low
+        size = int(e[-1])
+        if size < HASH_BYTES:
+            power, inverse = _powers(seed)
+        else:  # one long span, which starts at place 0
+            power, inverse = _power_row(0x100000001B3 + 2 * seed, size), np.ones(1, np.uint64)
+        sums = np.zeros(size + 1, np.uint64)
+        np.cumsum(values[data[low : low + size]] * power[:size], out=sums[1:])
+        out[at:to] = (sums[e] - sums[s]) * inverse[s] + mix((e - s).astype(np.uint64))
         at = to
     return mix(out)
 
