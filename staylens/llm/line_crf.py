@@ -7,7 +7,7 @@ characters on content lines decides whether the text stays. Texts that fail the
 base rules (too short, too repetitive) go without asking the field.
 
 The field is trained by maximum likelihood on a bounded sample of labelled
-documents (``TRAIN_DOCS``). Lines of good documents count as content, lines of
+documents (``TRAIN_DOCS``, ``TRAIN_LINES``), each distinct text of a key once and a chain of its own. Lines of good documents count as content, lines of
 bad ones and repeated lines as boilerplate. Without labels of both kinds every
 line is content. Null text has no words and fails the base rule.
 """
@@ -25,7 +25,7 @@ from staylens.llm import shape as S
 from staylens.llm import words as W
 from staylens.session import configure
 
-TRAIN_DOCS = 3_000
+TRAIN_DOCS, TRAIN_LINES = 3_000, 400_000  # lines: 40 MB on the driver
 MIN_WORDS, MAX_REPEAT_PERCENT, REPEAT_WINDOW = 10, 20, 5
 MIN_CONTENT = 0.5
 N_FEATURES = S.N_SHAPE + 2
@@ -129,28 +129,50 @@ def train(features: np.ndarray, label: np.ndarray, text: np.ndarray, n_texts: in
     return weight, step
 
 
-def training_lines(docs: DataFrame, labels: DataFrame, wanted: int = TRAIN_DOCS):
-    """Features and weak labels of the lines of about ``wanted`` labelled documents (twice that at most)."""
-    known = labels.where(F.col("quality").isNotNull() & F.col("doc_id").isNotNull()).select("doc_id", "quality")
+def training_texts(docs: DataFrame, labels: DataFrame, wanted: int, most_lines: int) -> DataFrame:
+    """(doc_id, digest, text, quality): distinct texts of the sampled keys, with ``most_lines`` lines together at most.
+
+    Which texts are taken depends on keys and contents only. Labels of one key that
+    conflict count as good. A text with more than a hundredth of the lines is left out.
+    """
+    known = labels.where(F.col("quality").isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max("quality").alias("quality"))
     share = W.sample_share(known.count(), wanted)
-    some = known.where(W.by_share(F.col("doc_id"), share, 9)).dropDuplicates(["doc_id"]).orderBy("doc_id").limit(2 * wanted)
+    some = known.where(W.by_share(F.col("doc_id"), share, 9)).orderBy(F.xxhash64("doc_id"), "doc_id").limit(2 * wanted)
+    rows = docs.select("doc_id", "text").where("text IS NOT NULL").join(F.broadcast(some), "doc_id").withColumn("digest", F.md5("text"))
+    size = F.size(F.split("text", "\n", -1))
+    sized = rows.select("doc_id", "digest", size.alias("size")).distinct().where(F.col("size") <= max(most_lines // 100, 1))
+    first = sized.orderBy(F.xxhash64("doc_id"), "doc_id", "digest").limit(2 * wanted).collect()
+    taken, total = [], 0
+    for r in first:
+        total += r["size"]
+        if total > most_lines:
+            break
+        taken.append((r["doc_id"], r["digest"]))
+    chosen = docs.sparkSession.createDataFrame(taken, "doc_id bigint, digest string")
+    return rows.join(F.broadcast(chosen), ["doc_id", "digest"]).groupBy("doc_id", "digest").agg(F.max("text").alias("text"), F.max("quality").alias("quality"))
+
+
+def training_lines(docs: DataFrame, labels: DataFrame, wanted: int = TRAIN_DOCS, most_lines: int = TRAIN_LINES):
+    """Features and weak labels of the lines of about ``wanted`` labelled documents (twice that at most), by key and content."""
+    packed = training_texts(docs, labels, wanted, most_lines)
 
     def lines(batches) -> Iterator[pa.RecordBatch]:
         for batch in W.chunks(batches):
             data, off = W.raw(batch.column("text"))
             text, features, dup, _ = line_table(data, off)
-            good = batch.column("quality").to_numpy(zero_copy_only=False)[text] > 0
-            ids = batch.column("doc_id").to_numpy(zero_copy_only=False)[text]
+            label = ((batch.column("quality").to_numpy(zero_copy_only=False)[text] > 0) & ~dup).astype(np.int8)
+            edge = np.searchsorted(text, np.arange(batch.num_rows + 1))
+            rows = [(label[a:b].tobytes(), features[a:b].astype(float).tobytes()) for a, b in zip(edge[:-1], edge[1:])]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(ids), pa.array(np.arange(len(ids))), pa.array((good & ~dup).astype(np.int32)), pa.array(features.tolist(), pa.list_(pa.float64()))],
-                names=["doc_id", "at", "label", "features"],
+                [batch.column("doc_id"), batch.column("digest"), *(pa.array(c, pa.binary()) for c in zip(*rows))], names=["doc_id", "digest", "label", "features"]
             )
 
-    rows = docs.select("doc_id", "text").join(F.broadcast(some), "doc_id").mapInArrow(lines, "doc_id bigint, at bigint, label int, features array<double>").toPandas()
-    rows = rows.sort_values(["doc_id", "at"], kind="stable")
-    ids, text = np.unique(rows["doc_id"].to_numpy(np.int64), return_inverse=True)
-    features = np.array(rows["features"].tolist(), float).reshape(-1, N_FEATURES)
-    return features, rows["label"].to_numpy(np.int64), text, len(ids)
+    rows = packed.mapInArrow(lines, "doc_id bigint, digest string, label binary, features binary").collect()
+    rows.sort(key=lambda r: (r["doc_id"], r["digest"]))
+    label = np.concatenate([np.zeros(0, np.int8), *(np.frombuffer(r["label"], np.int8) for r in rows)]).astype(np.int64)
+    features = np.concatenate([np.zeros(0), *(np.frombuffer(r["features"]) for r in rows)]).reshape(-1, N_FEATURES)
+    text = np.repeat(np.arange(len(rows)), [len(r["label"]) for r in rows])
+    return features, label, text, len(rows)
 
 
 def judge(docs: DataFrame, weight: np.ndarray, step: np.ndarray, min_content: float = MIN_CONTENT) -> DataFrame:
