@@ -353,6 +353,13 @@ def scan(entries: DataFrame, signs: DataFrame) -> DataFrame:
     return rows.withColumn("bucket", buckets).groupBy("bucket").applyInArrow(meet, "a bigint, b bigint").distinct()
 
 
+def representatives(docs: DataFrame, copies: DataFrame) -> DataFrame:
+    """One row (block, doc_id, text) of each class: ``copies`` (doc_id, rep) leave, and of rows that share an id made from key and text one stays."""
+    rest = docs.where("doc_id IS NOT NULL").join(copies.where("doc_id <> rep").select("doc_id"), "doc_id", "left_anti").select("block", "doc_id", "text")
+    made = rest.where(F.col("doc_id") < HASHED).groupBy("block", "doc_id").agg(F.max("text").alias("text"))
+    return rest.where(F.col("doc_id") >= HASHED).unionByName(made)
+
+
 def grouped(spark: SparkSession, docs: DataFrame, ties: DataFrame | None = None) -> DataFrame:
     """(doc_id, n, component_id) for every row of ``docs`` (doc_id, text), where equal ids mean equal texts; ``ties`` (a, b) link as well."""
     docs = blocked(docs)
@@ -361,10 +368,9 @@ def grouped(spark: SparkSession, docs: DataFrame, ties: DataFrame | None = None)
     some = rows.where("n > 0 AND doc_id IS NOT NULL")
     classes = some.groupBy("n", "k1", "k2").agg(F.min("doc_id").alias("rep"), F.max("doc_id").alias("last"))
     copies = stored(spark, some.join(classes.where("rep < last"), ["n", "k1", "k2"]).select("doc_id", "rep").distinct(), "set-copies")
-    # Lists over one document of each class.
-    entries = lists(docs, max(32, text_bytes // BUCKET_BYTES + 1))
-    rep = F.coalesce("rep", "doc")
-    entries = entries.join(copies.select(F.col("doc_id").alias("doc"), "rep"), "doc", "left").select("list", rep.alias("doc"), "n").distinct()
+    # Lists and comparisons over one row of each class: copies leave before anything is made of their texts.
+    docs = representatives(docs, copies)
+    entries = lists(docs, max(32, text_bytes // BUCKET_BYTES + 1)).distinct()
     band = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100 / PERCENT))).cast("int")
     entries = stored(spark, entries.withColumn("band", band), "set-lists")
     leads = entries.groupBy("list", "band").agg(F.min("doc").alias("lead"))

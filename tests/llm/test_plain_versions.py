@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from staylens.llm import brown, html_blocks, line_crf
+from staylens.llm import brown, html_blocks, jaccard, line_crf
 from staylens.llm import words as W
 
 from .test_queries import LOWER, WORD, remainder
@@ -197,3 +197,29 @@ def test_tags_and_texts_of_malformed_pages():
     assert read("<!doctype x>t<?y>u<!z") == ["t", "u", "<", "!z"]
     assert read("<script a='</script>'><p></style >t<script>x") == ["t"]
     assert html_blocks.main_text("<p>&#0000000000065;&#99999999999;&#x41;&amp;") == "A�A&"
+
+
+def test_op6_copies_and_repeated_rows_leave_before_the_lists(spark, monkeypatch):
+    random.seed(6)
+    vocabulary = [f"w{i}" for i in range(300)]
+    texts = [random.choices(vocabulary, k=60) for _ in range(40)]
+    near = list(texts[0])
+    near[30] = "changed"
+    rows = [(i, " ".join(ws)) for i, ws in enumerate(texts)]
+    rows += [(100 + i, " ".join(texts[0])) for i in range(200)]  # a hot class of copies
+    rows += [(500, " ".join(near)), (501, " ".join(near))]
+    rows += [(600, " ".join(texts[1]))] * 150 + [(600, " ".join(texts[2]))]  # a hot row under a repeated key
+    rows += [(None, " ".join(texts[3]))] * 50 + [(700, None), (700, ""), (701, "a b"), (702, "a b")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(5)
+    listed, plain = [], jaccard.lists
+    monkeypatch.setattr(jaccard, "lists", lambda docs, buckets: listed.append([r["text"] for r in docs.collect()]) or plain(docs, buckets))
+    found = jaccard.by_key(spark, docs).collect()
+    assert len(found) == len(rows)
+    wordy = [t for t in listed[0] if t]
+    assert len(wordy) == len(set(wordy)) == 42  # 40 texts, the near copy, "a b"
+    component = {r["doc_id"]: r["component_id"] for r in found if r["doc_id"] is not None}
+    want = {i: i for i in range(40)} | dict.fromkeys([*range(100, 300), 500, 501], 0) | {600: 1, 2: 1, 700: 700, 701: 701, 702: 701}
+    assert component == want
+    assert all(r["component_id"] is None for r in found if r["doc_id"] is None)
+    one = jaccard.one_of_each(spark, docs).collect()
+    assert Counter(r["text"] for r in one if r["text"]) == Counter(" ".join(ws) for ws in texts) + Counter(["a b"])
