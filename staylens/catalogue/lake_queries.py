@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from staylens import schemas
 from staylens.catalogue import page_queries as pg
 from staylens.catalogue import tables as t
+from staylens.catalogue.value_queries import alert_sql
 from staylens.functions import text
 from staylens.operators.coerce import coerce_to
 from staylens.plans import refresh
@@ -200,6 +201,35 @@ placed AS (SELECT newest.*, lat, lon,
   FROM newest LEFT JOIN located USING (facility_id))"""
 
 
+def _watched_lake(spark, sf_dir, name: str) -> str:
+    """Weeks landed in turn with an alert run after each; one run is landed wrong at first, and again."""
+    base = scratch_path(spark, name)
+    rows = t.weekly_availability(spark, sf_dir)
+    weeks = [row[0] for row in rows.select("scraped_at").distinct().orderBy("scraped_at").collect()]
+    first, rest = weeks[:-2], weeks[-2:]
+    history = rows.where(F.col("scraped_at").isin(first))
+    wrong = F.when(F.col("scraped_at") == first[-1], F.lit(True)).otherwise(F.col("is_available"))
+    for part in (
+        history.withColumn("is_available", wrong),
+        history.where(F.col("scraped_at") == first[-1]),
+        *[rows.where(F.col("scraped_at") == week) for week in rest],
+    ):
+        bronze.append(part, bronze.BOOKING, base)
+        refresh.newest_alerts(spark, bronze.BOOKING, base)
+    return base
+
+
+def watched_alerts(spark, sf_dir):
+    """Alerts of every area's newest scrape from kept sightings."""
+    return refresh.newest_alerts(spark, bronze.BOOKING, _watched_lake(spark, sf_dir, "watched"))
+
+
+def watched_alerts_at(spark, sf_dir):
+    """Alerts of one area at an earlier scrape from kept sightings."""
+    base = _watched_lake(spark, sf_dir, "watched-at")
+    return refresh.alerts_at(spark, bronze.BOOKING, base, "Area1, Web", "2024-01-15T00:00:00")
+
+
 def lake_count(spark, sf_dir):
     base = _land_weekly(spark, sf_dir, "count")
     return DataLake(spark, base).query(
@@ -366,6 +396,11 @@ QUERIES = {
         f"{t.with_tables('weekly')} SELECT search_area, count(*) AS n FROM weekly "
         "WHERE search_area IN ('Area0__Web', 'Area2__Web') GROUP BY search_area",
     ),
+    "watched_alerts": (watched_alerts, alert_sql("max(scraped_at)") + " SELECT * FROM alerts"),
+    "watched_alerts_at": (
+        watched_alerts_at,
+        alert_sql("'2024-01-15T00:00:00'") + " SELECT * FROM alerts WHERE search_area = 'Area1__Web'",
+    ),
     "stream_landing": (stream_landing, f"{t.with_tables('weekly')} {_WEEKLY_READ}"),
     "stream_availability_recovery": (stream_availability_recovery, _STREAM_ALERTS),
 }

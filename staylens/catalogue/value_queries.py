@@ -213,7 +213,7 @@ def alert_text(spark, sf_dir):
     return alerts.select("facility_id", "price_per_night", recovery.alert_text().alias("message"))
 
 
-def _alerts(latest: str) -> str:
+def alert_sql(latest: str) -> str:
     """Alert rows at a scrape: a literal, or the newest of every area."""
     return f"""{t.with_tables('weekly')},
 latest AS (SELECT search_area, {latest} AS newest_at FROM weekly GROUP BY search_area),
@@ -272,15 +272,15 @@ QUERIES = {
     ),
     "availability_recovery": (
         availability_recovery,
-        _alerts("'2024-01-15T00:00:00'") + " SELECT * FROM alerts WHERE search_area = 'Area1__Web'",
+        alert_sql("'2024-01-15T00:00:00'") + " SELECT * FROM alerts WHERE search_area = 'Area1__Web'",
     ),
     "availability_recovery_all_areas": (
         availability_recovery_all_areas,
-        _alerts("max(scraped_at)") + " SELECT * FROM alerts",
+        alert_sql("max(scraped_at)") + " SELECT * FROM alerts",
     ),
     "alert_text": (
         alert_text,
-        _alerts("max(scraped_at)") + " SELECT facility_id, price_per_night, '[ALERT] ''' || name || ''' (id=' || facility_id || "
+        alert_sql("max(scraped_at)") + " SELECT facility_id, price_per_night, '[ALERT] ''' || name || ''' (id=' || facility_id || "
         "') in ' || search_area || ' is AVAILABLE again as of ' || recovered_at || '. Price: ' || "
         "coalesce(price_per_night || ' ' || currency, 'price unknown') || '. URL: ' || url AS message FROM alerts",
     ),

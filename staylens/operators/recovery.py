@@ -44,6 +44,15 @@ def first_sightings(rows: DataFrame) -> DataFrame:
     )
 
 
+def merged(sightings: DataFrame) -> DataFrame:
+    """Combine the sightings of several parts of the rows, which may overlap."""
+    return sightings.groupBy(*KEYS).agg(
+        F.min("first_unavailable_at").alias("first_unavailable_at"),
+        F.min("first_available_at").alias("first_available_at"),
+        F.max("last_seen_at").alias("last_seen_at"),
+    )
+
+
 def recovered(sightings: DataFrame) -> DataFrame:
     """Facilities whose first available scrape follows an unavailable one.
 
@@ -78,23 +87,33 @@ def availability_recovery(bronze: DataFrame, search_area: str, latest_scraped_at
     area = text.sanitise_area(F.lit(check_area(search_area)))
     latest = F.lit(check_timestamp(latest_scraped_at))
     rows = bronze.where((F.col("search_area") == area) & (F.col("scraped_at") <= latest))
-    found = recovered(first_sightings(rows)).where(F.col("_at") == latest.cast("timestamp"))
+    return alerts_at(first_sightings(rows), rows, latest_scraped_at)
+
+
+def alerts_at(sightings: DataFrame, rows: DataFrame, latest_scraped_at: str) -> DataFrame:
+    """Alerts at one scrape. Sightings after it change nothing: what came first up to it is first overall."""
+    latest = F.lit(check_timestamp(latest_scraped_at))
+    found = recovered(sightings).where(F.col("_at") == latest.cast("timestamp"))
     return alerts(rows.where(F.col("scraped_at") == latest), found)
 
 
 def availability_recovery_all_areas(bronze: DataFrame) -> DataFrame:
-    """Alerts for every area at its own newest scrape, in one plan.
+    """Alerts for every area at its own newest scrape, in one plan."""
+    return newest_alerts(first_sightings(bronze), bronze)
+
+
+def newest_alerts(sightings: DataFrame, rows: DataFrame) -> DataFrame:
+    """Alerts at every area's newest scrape; ``rows`` holds at least those of it.
 
     The newest scrape per area comes from the per-facility aggregate, not from
     another pass over the observations: taking the maximum of whole sightings
     keeps both uses of the aggregate identical, so they share its shuffle.
     """
-    sightings = first_sightings(bronze)
     latest = F.max(F.struct("last_seen_at", "first_unavailable_at", "first_available_at"))
     newest = sightings.groupBy("search_area").agg(latest["last_seen_at"].alias("_newest"))
     just_now = sightings.where("first_available_at = last_seen_at")
     found = skew_join(recovered(just_now), newest, ["search_area"], "inner")
-    return alerts(bronze, found.where("_at = _newest").drop("_newest"))
+    return alerts(rows, found.where("_at = _newest").drop("_newest"))
 
 
 def alert_text() -> Column:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import uuid
 
 from py4j.protocol import Py4JJavaError
@@ -63,6 +64,13 @@ def count_files(spark: SparkSession, locations: list[str]) -> int:
     return total
 
 
+def fingerprint(spark: SparkSession, location: str) -> str:
+    """A digest of the names, lengths and times of the Parquet files a directory holds itself."""
+    fs, path = _path(spark, f"{location}/*.parquet")
+    files = [(s.getPath().getName(), s.getLen(), s.getModificationTime()) for s in fs.globStatus(path) or []]
+    return hashlib.sha256(repr(sorted(files)).encode()).hexdigest()[:32]
+
+
 def move(spark: SparkSession, source: str, target: str) -> None:
     """Rename a directory to a place that must be free."""
     fs, path = _path(spark, target)

@@ -23,7 +23,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from staylens import schemas
 from staylens.operators.coerce import coerce_to
-from staylens.operators.recovery import KEYS, alerts, first_sightings, recovered
+from staylens.operators.recovery import KEYS, alerts, first_sightings, merged, recovered
 from staylens.sources import commits
 
 MOMENTS = ("first_unavailable_at", "first_available_at", "last_seen_at")
@@ -41,15 +41,6 @@ CANDIDATE = T.StructType(
 )
 
 
-def merged(sightings: DataFrame) -> DataFrame:
-    """Combine the facts of several deltas."""
-    return sightings.groupBy(*KEYS).agg(
-        F.min("first_unavailable_at").alias("first_unavailable_at"),
-        F.min("first_available_at").alias("first_available_at"),
-        F.max("last_seen_at").alias("last_seen_at"),
-    )
-
-
 def _first_rows(rows: DataFrame, facts: DataFrame) -> DataFrame:
     """The available rows that stand at their listing's first available time."""
     first = facts.select(*KEYS, F.col("first_available_at").alias("_at"))
