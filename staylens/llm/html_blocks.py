@@ -8,8 +8,9 @@ noise; text surges where a window's sum rises above the threshold and dives wher
 the window is empty, and the lines that weigh something between the two are kept.
 
 A word of a class or id makes an element noise, but not the element around the
-article, nor one with most of the page's text (``pardoned``). A page that marks its
-article surges at any text: there the marks choose the text, not the windows. Null html is an empty page; a
+article, nor one with most of the page's text (``pardoned``). Where a page marks
+articles, a surge in a marked element keeps the element whole, and marked elements that
+the text passes by without a surge (teasers) are left out. Null html is an empty page; a
 page without text gives the empty string. Elements left open end with the element
 around them. Whatever is left open, a page is read in linear time.
 """
@@ -180,8 +181,8 @@ def name_hidden(attributes: str) -> bool:
     return bool(re.search(r"(?:^|\s)hidden(?:\s|=|/|$)|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", attributes, re.I))
 
 
-def lines(page: str) -> list[tuple[str, bool, bool]]:
-    """Every block of text in page order: text, whether it is noise, whether it stands in the marked article."""
+def lines(page: str) -> list[tuple[str, bool, int]]:
+    """Every block of text in page order: text, whether it is noise, the outermost marked element it stands in or -1."""
     out: list[tuple[str, bool, int]] = []
     held: list[str] = []
     nodes: list[tuple[int, int, str]] = []  # elements that a class names or that mark an article: node around, kind, mark
@@ -228,13 +229,13 @@ def lines(page: str) -> list[tuple[str, bool, bool]]:
     return judged(out, nodes)
 
 
-def judged(found: list[tuple[str, bool, int]], nodes: list[tuple[int, int, str]]) -> list[tuple[str, bool, bool]]:
+def judged(found: list[tuple[str, bool, int]], nodes: list[tuple[int, int, str]]) -> list[tuple[str, bool, int]]:
     """The lines with what their nodes make of them."""
     forgiven = pardoned(found, nodes)
-    noise, inside = [False] * (len(nodes) + 1), [False] * (len(nodes) + 1)  # the last one stands around the page
+    noise, inside = [False] * (len(nodes) + 1), [-1] * (len(nodes) + 1)  # the last one stands around the page
     for i, (around, kind, mark) in enumerate(nodes):
         noise[i] = noise[around] or (kind > CLEAR and not forgiven[i])
-        inside[i] = inside[around] or (mark != "" and not noise[i])
+        inside[i] = i if inside[around] < 0 and mark and not noise[i] else inside[around]
     return [(text, hard or noise[node], inside[node]) for text, hard, node in found]
 
 
@@ -290,12 +291,15 @@ def between(weight: np.ndarray, surge: int, window: int = WINDOW) -> np.ndarray:
 def main_text(page: str | None) -> str:
     """The article of one page, its blocks joined by an empty line."""
     found = lines(page or "")
-    marked = any(inside and not noise for _, noise, inside in found)
-    weight = np.array([0 if noise or (marked and not inside) else len(text) for text, noise, inside in found], np.int64)
+    marked = any(inside >= 0 and not noise for _, noise, inside in found)
+    weight = np.array([0 if noise or (marked and inside < 0) else len(text) for text, noise, inside in found], np.int64)
     # Noise lines are no gap in the text: the windows pass over them.
     kept = np.zeros(len(found), bool)
     text_lines = np.array([not noise for _, noise, _ in found], bool)
-    kept[text_lines] = between(weight[text_lines], 0 if marked else SURGE)
+    kept[text_lines] = between(weight[text_lines], SURGE)
+    if marked:
+        surged = {inside for (_, _, inside), keep in zip(found, kept) if keep}
+        kept = (weight > 0) & np.array([inside in surged for _, _, inside in found], bool)
     if not kept.any():
         kept = weight > 0
     return "\n\n".join(text for (text, _, _), keep in zip(found, kept) if keep)
