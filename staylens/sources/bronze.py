@@ -196,13 +196,19 @@ def append_epoch(rows: DataFrame, dataset: BronzeDataset, base: str, stream: str
     if commits.state(spark, root).epochs.get(stream, -1) >= epoch:
         return False
     unit = [*dataset.partitions, "_file"]
+    kept: list[DataFrame] = []
 
     def only_new(landed: DataFrame, before: DataFrame | None) -> DataFrame | None:
-        again = _redelivered(landed, before, dataset.partitions)
+        again = _redelivered(landed, before, dataset.partitions).persist()  # asked for twice: is there any, and which
+        kept.append(again)
         return None if again.isEmpty() else landed.join(again, unit, "left_anti").select(*landed.columns)
 
     named = rows.withColumn("_file", F.xxhash64(F.input_file_name()))
-    return _publish(landed_columns(named, dataset, "_file"), dataset, root, "add", only_new, {stream: epoch})
+    try:
+        return _publish(landed_columns(named, dataset, "_file"), dataset, root, "add", only_new, {stream: epoch})
+    finally:
+        for again in kept:
+            again.unpersist()
 
 
 def _redelivered(landed: DataFrame, before: DataFrame | None, run: list[str]) -> DataFrame:
