@@ -126,7 +126,8 @@ def airbnb_silver(bronze: DataFrame, facilities: DataFrame, city_centres: DataFr
     """The 24 silver columns for Airbnb search results.
 
     Ratings are doubled to the 0-10 scale; the two lookups run after the
-    de-duplication, which neither of them can change.
+    de-duplication, which neither of them can change. The price metrics follow
+    the lookups, so that their numbers do not travel through the lookups' shuffle.
     """
     stays = newest_stays(
         bronze,
@@ -143,14 +144,13 @@ def airbnb_silver(bronze: DataFrame, facilities: DataFrame, city_centres: DataFr
         "num_reviews",
         "is_available",
     )
+    rating = F.col("rating") * 2.0
     scored = with_min_max_scaled(
-        with_price_metrics(stays, F.col("rating") * 2.0), "quality_price_score"
-    )
-    return _finish(
-        with_distance(scored, facilities, city_centres, bronze),
-        "ABNB",
-        stay.AIRBNB_SILVER_CURRENCIES,
+        with_price_metrics(with_distance(stays, facilities, city_centres, bronze), rating),
+        "quality_price_score",
+        over=with_price_metrics(stays, rating),
     )
+    return _finish(scored, "ABNB", stay.AIRBNB_SILVER_CURRENCIES)
 
 
 def cities(bronze: DataFrame) -> DataFrame:
