@@ -14,7 +14,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,6 +32,7 @@ RULES = (
 )
 BASE = ("assign", "access", "hex")
 SPAN = "array<struct<start:bigint,rank:int,end:bigint,kind:string>>"
+ARROW_SPAN = pa.list_(pa.struct([("start", pa.int64()), ("rank", pa.int32()), ("end", pa.int64()), ("kind", pa.string())]))
 LEDGER = f"blob binary, rules array<string>, spans {SPAN}"
 
 
@@ -57,7 +58,8 @@ def read_ledger(spark: SparkSession, path: str) -> DataFrame:
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], LEDGER)
+        # A list would be read by Python workers of another kind, which stay beside those of the scan.
+        return spark.range(0).select(F.from_json(F.lit(None).cast("string"), LEDGER).alias("row")).select("row.*")
 
 
 def versions(docs: DataFrame, key: str, text: str) -> DataFrame:
@@ -86,12 +88,14 @@ def scan(spark: SparkSession, docs: DataFrame, ledger_path: str, key: str = "doc
     same = (F.col("path_key") == F.col("one_key")) & F.col("path").eqNullSafe(F.col("one")) & (F.col("blob") == F.col("one_blob"))
     texts = every.withColumn("path_key", spread).join(todo, same)
 
-    def read(frames) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            spans = [[dict(zip(("start", "rank", "end", "kind"), s)) for s in find(t, set(w), rules)] for t, w in zip(frame["body"], frame["todo"])]
-            yield pd.DataFrame({"blob": frame["blob"], "rules": frame["todo"], "spans": spans})
+    def read(batches) -> Iterator[pa.RecordBatch]:
+        # Arrow alone: a worker that also loads pandas holds some 100 MB more for the rest of its life.
+        for batch in batches:
+            bodies, wanted = batch.column("body"), batch.column("todo")
+            spans = [[dict(zip(("start", "rank", "end", "kind"), s)) for s in find(t.as_py(), set(w.as_py()), rules)] for t, w in zip(bodies, wanted)]
+            yield pa.RecordBatch.from_arrays([batch.column("blob"), wanted, pa.array(spans, ARROW_SPAN)], names=["blob", "rules", "spans"])
 
-    found = texts.select("blob", "todo", "body").mapInPandas(read, LEDGER)
+    found = texts.select("blob", "todo", "body").mapInArrow(read, LEDGER)
     found.write.mode("append").parquet(ledger_path)
     known = _known(read_ledger(spark, ledger_path), rules).withColumnRenamed("blob", "of")
     return paths.join(known, F.col("blob") == F.col("of"), "left").select(
