@@ -11,10 +11,11 @@ words are a table, joined back by block. Words that no learning text holds keep
 p(class | class before) * p(word | class), both smoothed; each class keeps mass for
 one unseen word.
 
-Counting is over all learning texts. Words are counted where they are first met,
-by block of documents, and only (block, word, count) rows travel; back to a block
-go the counts and classes of its words. What reaches the driver is bounded
-by FREQUENT, SUFFIXES and CLASSES. A null text is empty: it has the end only. Rows
+Counting is over all learning texts. Texts are cut and hashed once: a task packs
+each chunk of its texts as the sorted distinct words and the places of the tokens in
+that list. Only packed pieces of these lists travel, by range of the hash; back to a
+chunk go the counts and classes of its words in the order of the list, and the chunk's
+tokens meet them once. What reaches the driver is bounded by FREQUENT, SUFFIXES and CLASSES. A null text is empty: it has the end only. Rows
 with the same key are scored one by one. Without learning texts every token is unseen.
 """
 
@@ -25,34 +26,101 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from staylens.llm import words as W
 from staylens.llm.components import stored
-from staylens.session import configure, scratch_path
+from staylens.session import configure
 
 FREQUENT, SUFFIXES, CLASSES, ROUNDS = 4096, 1024, 48, 8
 SUFFIX_BYTES = 4
-BLOCK_DOCS = 2048
-COUNT_BYTES = 4 << 20
-CONTEXT_BYTES = 8 << 20  # text for each bucket of words
+COUNT_BYTES = 6 << 20  # text of one chunk
+KINDS_A_BUCKET = 400_000  # words of chunks that meet in one group
 MOVED = 4096  # words that move at once against the same counts
 FOLDS, HELD = 5, 1
 TRANSITION_WEIGHT = 20.0
+WIDE = 2 * CLASSES + 1  # cells of a word's contexts
 END = FREQUENT + SUFFIXES  # the item of the end token; its class is the last one
 OUT = "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double"
 
 
+CHUNK = "chunk bigint, doc_id array<bigint>, learn array<boolean>, sizes array<int>, kinds int, words binary, endings binary, counts binary, tokens binary"
+LINE = "doc_id array<bigint>, learn array<boolean>, sizes array<int>, seen array<bigint>, logs array<double>, line binary, follow binary"
+
+
+def pack(values: np.ndarray) -> bytes:
+    return zstandard.compress(values.tobytes(), 3)
+
+
+def unpack(packed: pa.Scalar, kind) -> np.ndarray:
+    return np.frombuffer(zstandard.decompress(packed.as_py()), kind)
+
+
+def _planes(values: np.ndarray) -> np.ndarray:
+    """The bytes of 32-bit values, all first ones, then all second ones and so on: packs better."""
+    return np.ascontiguousarray(values.astype("<u4").view(np.uint8).reshape(-1, 4).T)
+
+
+def _values(planes: np.ndarray) -> np.ndarray:
+    return np.ascontiguousarray(planes.reshape(4, -1).T).view("<u4").ravel().astype(np.int64)
+
+
 def blocked(docs: DataFrame) -> DataFrame:
-    """doc_id, text, learn and a block of neighbouring documents."""
-    spread = -1 - F.pmod(F.xxhash64("text"), F.lit(4096))
-    return docs.select(
-        F.coalesce(F.floor(F.col("doc_id") / BLOCK_DOCS), spread).alias("block"),
-        "doc_id",
-        "text",
-        (W.remainder(F.col("doc_id"), FOLDS) != HELD).alias("learn"),
-    )
+    """Packed chunks of documents as their task reads them: doc_id, learn, number of tokens by text; the sorted words, their endings and counts in learning texts; tokens as places in the list of words."""
+
+    def read(batches) -> Iterator[pa.RecordBatch]:
+        task = TaskContext.get().partitionId() << 32
+        for i, batch in enumerate(W.chunks(batches, limit=COUNT_BYTES)):
+            tokens = Tokens(batch.column("text"))
+            word, first, place = np.unique(tokens.words(), return_index=True, return_inverse=True)
+            learn = batch.column("learn").to_numpy(zero_copy_only=False)
+            count = np.bincount(place[learn[tokens.text]], minlength=len(word)).astype(np.uint32)
+            ending = np.empty(len(word), np.uint16)
+            order = np.argsort(first)
+            ending[order] = tokens.endings(first[order])
+            lists = [pa.ListArray.from_arrays(pa.array([0, batch.num_rows], pa.int32()), x) for x in (batch.column("doc_id"), pa.array(learn), pa.array(np.bincount(tokens.text, minlength=tokens.n).astype(np.int32)))]
+            binary = [pa.array([pack(x)], pa.binary()) for x in (word, ending, count, _planes(place))]
+            columns = [pa.array([task + i]), *lists, pa.array([len(word)], pa.int32()), *binary]
+            yield pa.RecordBatch.from_arrays(columns, names=[c.split()[0] for c in CHUNK.split(", ")])
+
+    learn = W.remainder(F.col("doc_id"), FOLDS) != HELD
+    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", learn.alias("learn")).mapInArrow(read, CHUNK)
+
+
+class Chunk:
+    """One row of :func:`blocked` unpacked."""
+
+    def __init__(self, table, row: int):
+        column = {name: table.column(name)[row] for name in table.schema.names}
+        self.learn = column["learn"].values.to_numpy(zero_copy_only=False)
+        self.sizes = column["sizes"].values.to_numpy()
+        self.tokens = _values(unpack(column["tokens"], np.uint8)) if "tokens" in column else None
+        if "words" in column:
+            self.words, self.endings = unpack(column["words"], np.uint64), unpack(column["endings"], np.uint16)
+            self.counts = unpack(column["counts"], np.uint32)
+
+    def learnt(self) -> tuple[np.ndarray, np.ndarray, int]:
+        """Tokens of the learning texts, their texts, and the number of these texts."""
+        size = self.sizes[self.learn]
+        return self.tokens[np.repeat(self.learn, self.sizes)], np.repeat(np.arange(len(size)), size), len(size)
+
+
+def unpacked(batches) -> Iterator[Chunk]:
+    for batch in batches:
+        for row in range(batch.num_rows):
+            yield Chunk(batch, row)
+
+
+def edges(words: np.ndarray, buckets: int) -> np.ndarray:
+    """Where each bucket, a range of hashes, begins in sorted words."""
+    bucket = ((words >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
+    return np.searchsorted(bucket, np.arange(buckets + 1, dtype=np.uint64))
+
+
+def bucket_rows(kinds: int | None) -> int:
+    return max(8, (kinds or 0) // KINDS_A_BUCKET + 1)
 
 
 class Tokens:
@@ -78,25 +146,6 @@ def words_of(column: pa.Array):
     return tokens.words(), tokens.endings(), tokens.text, tokens.n
 
 
-def word_rows(docs: DataFrame) -> DataFrame:
-    """(block, word, ending, n): occurrences in learning texts of each word that a block holds, a few rows a word at most."""
-
-    def read(batches) -> Iterator[pa.RecordBatch]:
-        for batch in W.chunks(batches, limit=COUNT_BYTES):
-            tokens = Tokens(batch.column("text"))
-            word, text = tokens.words(), tokens.text
-            block = batch.column("block").to_numpy()[text]
-            _, first, which = np.unique(W.mix(word + W.mix(block.astype(np.uint64))), return_index=True, return_inverse=True)
-            learn = batch.column("learn").to_numpy(zero_copy_only=False)[text]
-            n = np.bincount(which, weights=learn, minlength=len(first)).astype(np.int64)
-            ending = np.empty(len(first), np.int32)
-            order = np.argsort(first)
-            ending[order] = tokens.endings(first[order])
-            yield pa.RecordBatch.from_arrays([pa.array(block[first]), pa.array(word[first].view(np.int64)), pa.array(ending), pa.array(n)], names=["block", "word", "ending", "n"])
-
-    return docs.select("block", "text", "learn").mapInArrow(read, "block bigint, word bigint, ending int, n bigint")
-
-
 class Items:
     """Which clustering item a word is."""
 
@@ -116,19 +165,32 @@ class Items:
         return np.where(item >= 0, item, FREQUENT + ending.astype(np.int64))
 
 
-def bigrams(docs: DataFrame, items: Items) -> DataFrame:
-    """(a, b, n): how often item b follows item a in learning texts, ends included."""
+def bigrams(docs: DataFrame, items: Items, buckets: int) -> DataFrame:
+    """(a, b, n): how often item b follows item a in learning texts, ends included. Pairs travel packed, by remainder."""
 
     def read(batches) -> Iterator[pa.RecordBatch]:
-        for batch in W.chunks(batches, limit=COUNT_BYTES):
-            word, ending, text, n = words_of(batch.column("text"))
-            line, _, _ = with_ends(items.of(word, ending), text, n)
+        for chunk in unpacked(batches):
+            token, text, n = chunk.learnt()
+            line, _, _ = with_ends(items.of(chunk.words, chunk.endings)[token], text, n)
             pair, count = np.unique(line[:-1] * (END + 1) + line[1:], return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(pair), pa.array(count)], names=["pair", "n"])
+            order = np.argsort(pair % buckets, kind="stable")
+            pair, count = pair[order], count[order].astype(np.uint32)
+            edge = np.searchsorted(pair % buckets, np.arange(buckets + 1))
+            # Ascending within a bucket, so steps are kept instead of values.
+            rows = [(b, pack(_planes(np.diff(pair[x:y], prepend=0))), pack(count[x:y])) for b, (x, y) in enumerate(zip(edge[:-1], edge[1:])) if y > x]
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), (pa.int64(), pa.binary(), pa.binary()))], names=["bucket", "pairs", "counts"])
+
+    def total(table: pa.Table) -> pa.Table:
+        pair = np.concatenate([np.cumsum(_values(unpack(x, np.uint8))) for x in table.column("pairs")])
+        count = np.concatenate([unpack(x, np.uint32) for x in table.column("counts")])
+        pair, which = np.unique(pair, return_inverse=True)
+        n = np.bincount(which, weights=count).astype(np.int64)
+        return pa.table({"a": (pair // (END + 1)).astype(np.int32), "b": (pair % (END + 1)).astype(np.int32), "n": n})
 
-    rows = docs.where("learn").select("text").mapInArrow(read, "pair bigint, n bigint").groupBy("pair").agg(F.sum("n").alias("n"))
     # The end that opens a chunk's line belongs to no text, but every later end also opens the next one.
-    return rows.select(F.floor(F.col("pair") / (END + 1)).cast("int").alias("a"), (F.col("pair") % (END + 1)).cast("int").alias("b"), "n")
+    rows = docs.select("learn", "sizes", "words", "endings", "counts", "tokens").mapInArrow(read, "bucket bigint, pairs binary, counts binary")
+    return rows.groupBy("bucket").applyInArrow(total, "a int, b int, n bigint")
 
 
 def with_ends(value: np.ndarray, text: np.ndarray, n: int, end=END):
@@ -236,32 +298,36 @@ def cluster(table: DataFrame, rounds: int = ROUNDS) -> np.ndarray:
 
 
 def contexts(docs: DataFrame, items: Items, classes: np.ndarray, buckets: int) -> DataFrame:
-    """Packed by bucket: how often each word that is no item of its own stands before (cell class), behind (CLASSES + class) or next to itself (2 * CLASSES)."""
+    """Packed by chunk and bucket: the words, their counts and first classes, and how often each word that is no item of its own stands before (cell class), behind (CLASSES + class) or next to itself (2 * CLASSES)."""
 
     def read(batches) -> Iterator[pa.RecordBatch]:
-        squeeze = zstandard.ZstdCompressor(level=3).compress
-        for batch in W.chunks(batches, limit=COUNT_BYTES):
-            word, ending, text, n = words_of(batch.column("text"))
-            item = items.of(word, ending)
-            line, place, _ = with_ends(classes[item], text, n, CLASSES - 1)
-            same, _, _ = with_ends(word, text, n, 0)
-            some = np.flatnonzero(item >= FREQUENT)
-            word, ending, place = word[some], ending[some].astype(np.uint16), place[some]
-            begins = same[place - 1] != word
-            cell = np.concatenate((np.where(same[place + 1] == word, 2 * CLASSES, line[place + 1]), CLASSES + line[place - 1][begins])).astype(np.uint8)
-            word, ending = np.concatenate((word, word[begins])), np.concatenate((ending, ending[begins]))
-            bucket = (word >> np.uint64(32)) % np.uint64(buckets)
-            order = np.lexsort((cell, word, bucket))
-            word, ending, cell, bucket = word[order], ending[order], cell[order], bucket[order]
-            new = np.flatnonzero(np.concatenate(([True], (word[1:] != word[:-1]) | (cell[1:] != cell[:-1])))) if len(word) else np.zeros(0, np.int64)
-            count = np.diff(np.append(new, len(word))).astype(np.uint32)
-            word, ending, cell, bucket = word[new], ending[new], cell[new], bucket[new]
-            edge = np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1], [True]))) if len(bucket) else []
-            rows = [(int(bucket[a]), *(squeeze(x[a:b].tobytes()) for x in (word, ending, cell, count))) for a, b in zip(edge[:-1], edge[1:])]
-            if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), (pa.int64(), *[pa.binary()] * 4))], names=["bucket", "words", "endings", "cells", "counts"])
-
-    return docs.where("learn").select("text").mapInArrow(read, "bucket bigint, words binary, endings binary, cells binary, counts binary")
+        for batch in batches:
+            for i, name in enumerate(batch.column("chunk").to_pylist()):
+                chunk = Chunk(batch, i)
+                item = items.of(chunk.words, chunk.endings)
+                now = classes[item].astype(np.uint8)
+                token, text, n = chunk.learnt()
+                line, place, _ = with_ends(now[token], text, n, CLASSES - 1)
+                same, _, _ = with_ends(token, text, n, -1)
+                some = np.flatnonzero((item >= FREQUENT)[token])
+                word, place = token[some], place[some]
+                begins = same[place - 1] != word
+                cell = np.concatenate((np.where(same[place + 1] == word, 2 * CLASSES, line[place + 1]), CLASSES + line[place - 1][begins]))
+                key, n = np.unique(np.concatenate((word, word[begins])) * WIDE + cell, return_counts=True)
+                entries = np.bincount(key // WIDE, minlength=len(now))
+                ends = np.concatenate(([0], np.cumsum(entries)))
+                edge = edges(chunk.words, buckets)
+                rows = []
+                for b, (x, y) in enumerate(zip(edge[:-1], edge[1:])):
+                    if y > x:
+                        part, at = slice(x, y), slice(ends[x], ends[y])
+                        parts = (chunk.words[part], now[part], chunk.counts[part], entries[part].astype(np.uint8), (key[at] % WIDE).astype(np.uint8), n[at].astype(np.uint32))
+                        rows.append((name, b, *map(pack, parts)))
+                if rows:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), (pa.int64(), pa.int64(), *[pa.binary()] * 6))], names=["chunk", "bucket", "words", "now", "counts", "entries", "cells", "ns"])
+
+    kinds = "chunk bigint, bucket bigint, words binary, now binary, counts binary, entries binary, cells binary, ns binary"
+    return docs.select("chunk", "learn", "sizes", "words", "endings", "counts", "tokens").mapInArrow(read, kinds)
 
 
 def best_classes(m: np.ndarray, row: np.ndarray, cell: np.ndarray, n: np.ndarray, now: np.ndarray) -> np.ndarray:
@@ -296,81 +362,111 @@ def best_classes(m: np.ndarray, row: np.ndarray, cell: np.ndarray, n: np.ndarray
     return gain[:, : CLASSES - 1].argmax(1)
 
 
-def word_classes(packed: DataFrame, classes: np.ndarray, counts: np.ndarray) -> DataFrame:
-    """(word, class) for every word of the ``packed`` contexts; each task moves its words against its own copy of the counts."""
+def solved(packed: DataFrame, classes: np.ndarray, counts: np.ndarray) -> DataFrame:
+    """Counts and classes of the words of each (chunk, bucket) of ``packed``, in their order, and under chunk -1 of each learnt word; each group moves its words against its own copy of the class counts."""
 
     def move(table: pa.Table) -> pa.Table:
-        expand = zstandard.ZstdDecompressor().decompress
-        word, ending, cell, n = (np.concatenate([np.frombuffer(expand(x.as_py()), k) for x in table.column(c)]) for c, k in (("words", np.uint64), ("endings", np.uint16), ("cells", np.uint8), ("counts", np.uint32)))
-        order = np.lexsort((cell, word))
-        word, ending, cell, n = word[order], ending[order], cell[order].astype(np.int64), n[order].astype(float)
-        new = np.flatnonzero(np.concatenate(([True], (word[1:] != word[:-1]) | (cell[1:] != cell[:-1]))))
-        word, ending, cell, n = word[new], ending[new], cell[new], np.add.reduceat(n, new)
-        begin = np.flatnonzero(np.concatenate(([True], word[1:] != word[:-1])))
-        now = classes[FREQUENT + ending[begin].astype(np.int64)]
-        ends = np.append(begin, len(word))
-        m, found = counts.copy(), now.copy()
-        for a in range(0, len(begin), MOVED):
-            b = min(a + MOVED, len(begin))
-            part = slice(ends[a], ends[b])
-            row = np.repeat(np.arange(b - a), np.diff(ends[a : b + 1]))
-            found[a:b] = best_classes(m, row, cell[part], n[part], now[a:b])
-            for sign, at in ((-1, now[a:b][row]), (1, found[a:b][row])):
+        word, now, count, entries, cell, n = ([unpack(x, k) for x in table.column(c)] for c, k in (("words", np.uint64), ("now", np.uint8), ("counts", np.uint32), ("entries", np.uint8), ("cells", np.uint8), ("ns", np.uint32)))
+        ends = np.cumsum([0, *map(len, word)])
+        names, which = np.unique(np.concatenate(word), return_inverse=True)
+        total = np.bincount(which, weights=np.concatenate(count)).astype(np.int64)
+        own = np.empty(len(names), np.int64)
+        own[which] = np.concatenate(now)
+        key, at = np.unique(np.repeat(which, np.concatenate(entries)) * WIDE + np.concatenate(cell), return_inverse=True)
+        n = np.bincount(at, weights=np.concatenate(n), minlength=len(key))
+        owner, cell = key // WIDE, key % WIDE
+        begin = np.flatnonzero(np.diff(owner, prepend=-1))
+        moved, stops, m = owner[begin], np.append(begin, len(owner)), counts.copy()
+        for a in range(0, len(moved), MOVED):
+            b = min(a + MOVED, len(moved))
+            part = slice(stops[a], stops[b])
+            row, before = np.repeat(np.arange(b - a), np.diff(stops[a : b + 1])), own[moved[a:b]]
+            found = best_classes(m, row, cell[part], n[part], before)
+            for sign, at in ((-1, before[row]), (1, found[row])):
                 c, k = cell[part], sign * n[part]
                 x = np.where(c < CLASSES, at, np.where(c < 2 * CLASSES, c - CLASSES, at))
                 y = np.where(c < CLASSES, c, at)
                 m += np.bincount(x * CLASSES + y, weights=k, minlength=CLASSES * CLASSES).reshape(CLASSES, CLASSES)
             np.maximum(m, 0, out=m)
-        return pa.table({"word": word[begin].view(np.int64), "class": found})
+            own[moved[a:b]] = found
+        own, learnt = own.astype(np.uint8), np.flatnonzero(total)
+        parts = [which[x:y] for x, y in zip(ends[:-1], ends[1:])] + [learnt]
+        return pa.table(
+            {
+                "chunk": pa.array([*table.column("chunk").to_pylist(), -1]),
+                "bucket": pa.array([*table.column("bucket").to_pylist(), -1]),
+                "words": pa.array([*[None] * (len(parts) - 1), pack(names[learnt])], pa.binary()),
+                "counts": pa.array([pack(total[x]) for x in parts], pa.binary()),
+                "classes": pa.array([pack(own[x]) for x in parts], pa.binary()),
+            }
+        )
 
-    return packed.groupBy("bucket").applyInArrow(move, "word bigint, class bigint")
+    return packed.groupBy("bucket").applyInArrow(move, "chunk bigint, bucket bigint, words binary, counts binary, classes binary")
 
 
-def class_of(items: Items, classes: np.ndarray, word: np.ndarray, tokens: Tokens, named: np.ndarray, own: np.ndarray) -> np.ndarray:
-    """The class of each word: its own where the sorted ``named`` words hold it, else that of its item."""
-    item = items.rank(word)
-    found = np.where(item >= 0, classes[item], -1)
-    if len(named):
-        at = np.minimum(np.searchsorted(named, word), len(named) - 1)
-        found = np.where(named[at] == word, own[at], found)
-    rest = np.flatnonzero(found < 0)
-    found[rest] = classes[FREQUENT + tokens.endings(rest)]
-    return found
+def named(found: DataFrame) -> DataFrame:
+    """(word, class) of every learnt word of :func:`solved`."""
 
+    def read(batches) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for word, own in zip(batch.column("words"), batch.column("classes")):
+                yield pa.RecordBatch.from_arrays([pa.array(unpack(word, np.int64)), pa.array(unpack(own, np.uint8).astype(np.int64))], names=["word", "class"])
 
-def named_classes(known: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted words with a class of their own, and the classes."""
-    rows = known.filter(known.column("class").is_valid())
-    word, own = rows.column("word").to_numpy().view(np.uint64), rows.column("class").to_numpy()
-    order = np.argsort(word)
-    return word[order], own[order]
+    return found.where("chunk < 0").select("words", "classes").mapInArrow(read, "word bigint, class bigint")
 
 
-def class_bigrams(docs: DataFrame, known: DataFrame, items: Items, classes: np.ndarray) -> np.ndarray:
-    """How often class d follows class c in learning texts, each word with its own class; ``known`` has block, word, c, class."""
+def word_classes(packed: DataFrame, classes: np.ndarray, counts: np.ndarray) -> DataFrame:
+    """(word, class) for every learnt word of the ``packed`` contexts."""
+    return named(solved(packed, classes, counts))
 
-    def read(texts: pa.Table, known: pa.Table) -> pa.Table:
-        named = named_classes(known)
-        sums = np.zeros(CLASSES * CLASSES)
-        for batch in W.chunks(texts.to_batches()):
-            tokens = Tokens(batch.column("text"))
-            line, _, _ = with_ends(class_of(items, classes, tokens.words(), tokens, *named), tokens.text, tokens.n, CLASSES - 1)
-            sums += np.bincount(line[:-1] * CLASSES + line[1:], minlength=CLASSES * CLASSES)
+
+def classified(docs: DataFrame, found: DataFrame) -> DataFrame:
+    """By chunk: the class of each token, how often a class follows another in learning texts, and of each text the number of learnt tokens and the sum of log10(count + 0.5)."""
+
+    def read(texts: pa.Table, found: pa.Table) -> pa.Table:
+        order = np.argsort(found.column("bucket").to_numpy())
+        count, own = (np.concatenate([np.zeros(0, k), *[unpack(found.column(c)[int(i)], k) for i in order]]) for c, k in (("counts", np.int64), ("classes", np.uint8)))
+        rows = []
+        for i in range(texts.num_rows):
+            chunk = Chunk(texts, i)
+            n = len(chunk.sizes)
+            text = np.repeat(np.arange(n), chunk.sizes)
+            seen = np.bincount(text, weights=(count > 0)[chunk.tokens], minlength=n).astype(np.int64)
+            logs = np.bincount(text, weights=np.log10(count + 0.5)[chunk.tokens], minlength=n)
+            token, learnt, size = chunk.learnt()
+            line, _, _ = with_ends(own[token].astype(np.int64), learnt, size, CLASSES - 1)
+            follow = np.bincount(line[:-1] * CLASSES + line[1:], minlength=CLASSES * CLASSES)
+            rows.append((*(texts.column(c)[i].as_py() for c in ("doc_id", "learn", "sizes")), seen, logs, pack(own[chunk.tokens]), pack(follow)))
+        kinds = (pa.list_(pa.int64()), pa.list_(pa.bool_()), pa.list_(pa.int32()), pa.list_(pa.int64()), pa.list_(pa.float64()), pa.binary(), pa.binary())
+        columns = list(zip(*rows)) or [[]] * len(kinds)
+        return pa.table({c.split()[0]: pa.array(x, k) for c, x, k in zip(LINE.split(", "), columns, kinds)})
+
+    texts = docs.select("chunk", "doc_id", "learn", "sizes", "tokens")
+    return texts.groupBy("chunk").cogroup(found.where("chunk >= 0").select("chunk", "bucket", "counts", "classes").groupBy("chunk")).applyInArrow(read, LINE)
+
+
+def class_bigrams(lines: DataFrame) -> np.ndarray:
+    """How often class d follows class c in learning texts, each word with its own class."""
+
+    def read(batches) -> Iterator[pa.RecordBatch]:
+        sums = np.zeros(CLASSES * CLASSES, np.int64)
+        for batch in batches:
+            for x in batch.column("follow"):
+                sums += unpack(x, np.int64)
         some = np.flatnonzero(sums)
-        return pa.table({"key": some, "n": sums[some]})
+        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(sums[some])], names=["key", "n"])
 
     out = np.zeros(CLASSES * CLASSES)
-    texts = docs.where("learn").select("block", "text")
-    for r in texts.groupBy("block").cogroup(known.groupBy("block")).applyInArrow(read, "key bigint, n double").groupBy("key").agg(F.sum("n").alias("n")).collect():
+    for r in lines.select("follow").mapInArrow(read, "key bigint, n bigint").groupBy("key").agg(F.sum("n").alias("n")).collect():
         out[r["key"]] = r["n"]
     return out.reshape(CLASSES, CLASSES)
 
 
 class Model:
-    """Counts and classes; costs of tokens. ``known`` has block, word, c and the class of words that are no item of their own."""
+    """Counts and classes; costs of tokens. ``known`` has the learnt words with their classes, ``lines`` the classes of the tokens of all texts."""
 
-    def __init__(self, items: Items, classes: np.ndarray, follow: np.ndarray, tokens: np.ndarray, kinds: np.ndarray, texts: int, known: DataFrame):
-        self.known = known
+    def __init__(self, items: Items, classes: np.ndarray, follow: np.ndarray, tokens: np.ndarray, kinds: np.ndarray, texts: int, known: DataFrame, lines: DataFrame):
+        self.known, self.lines = known, lines
         self.items, self.classes, self.texts = items, classes, texts
         self.tokens, self.kinds = int(tokens.sum()) + texts, int(kinds.sum()) + (texts > 0)
         share = (follow.sum(0) + 0.5) / (follow.sum() + 0.5 * CLASSES)
@@ -379,103 +475,88 @@ class Model:
         self.base = np.log10(self.tokens + 0.5 * (self.kinds + 1))
 
     def __getstate__(self):
-        return {k: v for k, v in self.__dict__.items() if k != "known"}
-
-    def score(self, column: pa.Array, word: np.ndarray, known: np.ndarray, count: np.ndarray, named: np.ndarray, own: np.ndarray):
-        """n_tokens, n_known, base and class score of each text with its hashed ``word``; ``known`` are sorted words with their counts, ``named`` those with a class of their own."""
-        tokens = Tokens(column)
-        text, n = tokens.text, tokens.n
-        at = np.minimum(np.searchsorted(known, word), max(len(known) - 1, 0))
-        c = np.where(known[at] == word, count[at], 0) if len(known) else np.zeros(len(word), np.int64)
-        classes = class_of(self.items, self.classes, word.view(np.uint64), tokens, named, own)
-        logs = np.log10(c + 0.5)
-        line, place, close = with_ends(classes, text, n, CLASSES - 1)
+        return {k: v for k, v in self.__dict__.items() if k not in ("known", "lines")}
+
+    def score(self, sizes: np.ndarray, seen: np.ndarray, logs: np.ndarray, own: np.ndarray):
+        """n_tokens, n_known, base and class score of each text; ``own`` are the classes of its tokens, ``logs`` its sum of log10(count + 0.5)."""
+        n = len(sizes)
+        text = np.repeat(np.arange(n), sizes)
+        line, place, close = with_ends(own.astype(np.int64), text, n, CLASSES - 1)
         step = self.step[line[:-1], line[1:]]
-        model = np.bincount(text, weights=step[place - 1] + logs - self.emit[classes], minlength=n) + step[close - 1]
-        base = np.bincount(text, weights=logs - self.base, minlength=n) + (np.log10(self.texts + 0.5) - self.base)
-        size = np.bincount(text, minlength=n) + 1
-        return size, np.bincount(text, weights=c > 0, minlength=n).astype(np.int64) + (self.texts > 0), base, model
+        model = logs + np.bincount(text, weights=step[place - 1] - self.emit[own], minlength=n) + step[close - 1]
+        base = logs - sizes * self.base + (np.log10(self.texts + 0.5) - self.base)
+        return sizes.astype(np.int64) + 1, seen + (self.texts > 0), base, model
 
 
-def class_sizes(vocabulary: DataFrame, items: Items, classes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Tokens and distinct words of each class over (word, ending, c, class); a null class is that of the item."""
+def class_sizes(found: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Tokens and distinct words of each class over the learnt words of :func:`solved`."""
 
     def read(batches) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            own = batch.column("class").fill_null(-1).to_numpy()
-            at = np.where(own >= 0, own, classes[items.of(batch.column("word").to_numpy().view(np.uint64), batch.column("ending").to_numpy())])
-            sums = [np.bincount(at, weights=w, minlength=CLASSES).astype(np.int64) for w in (batch.column("c").to_numpy(), None)]
-            yield pa.RecordBatch.from_arrays([pa.array(np.arange(CLASSES)), *map(pa.array, sums)], names=["class", "tokens", "kinds"])
+            for count, own in zip(batch.column("counts"), batch.column("classes")):
+                at = unpack(own, np.uint8)
+                sums = [np.bincount(at, weights=w, minlength=CLASSES).astype(np.int64) for w in (unpack(count, np.int64), None)]
+                yield pa.RecordBatch.from_arrays([pa.array(np.arange(CLASSES)), *map(pa.array, sums)], names=["class", "tokens", "kinds"])
 
     tokens, kinds = np.zeros(CLASSES), np.zeros(CLASSES)
-    for r in vocabulary.mapInArrow(read, "class bigint, tokens bigint, kinds bigint").groupBy("class").agg(F.sum("tokens").alias("t"), F.sum("kinds").alias("k")).collect():
+    for r in found.where("chunk < 0").select("counts", "classes").mapInArrow(read, "class bigint, tokens bigint, kinds bigint").groupBy("class").agg(F.sum("tokens").alias("t"), F.sum("kinds").alias("k")).collect():
         tokens[r["class"]], kinds[r["class"]] = r["t"], r["k"]
     return tokens, kinds
 
 
 def count_words(spark: SparkSession, docs: DataFrame) -> DataFrame:
-    """(block, word, ending, n, c, first) of learnt words: c is the count over all blocks, first marks one row of each word. Written to the shared folder."""
-    path = scratch_path(spark, "brown-words")
-    same = Window.partitionBy("word")
-    rows = word_rows(docs).select("*", F.sum("n").over(same).alias("c"), (F.row_number().over(same.orderBy("block")) == 1).alias("first"))
-    rows.where("c > 0").write.parquet(path)
-    return spark.read.parquet(path)
+    """(word, ending, c, first) of learnt words: c is the count over all chunks, first is true. Written to the shared folder."""
+    buckets = bucket_rows(docs.agg(F.sum("kinds")).first()[0])
+
+    def read(batches) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for parts in zip(*(batch.column(c) for c in ("words", "endings", "counts"))):
+                word, ending, count = (unpack(x, k) for x, k in zip(parts, (np.uint64, np.uint16, np.uint32)))
+                some = np.flatnonzero(count)
+                word, ending, count = word[some], ending[some], count[some]
+                edge = edges(word, buckets)
+                rows = [(b, *(pack(v[x:y]) for v in (word, ending, count))) for b, (x, y) in enumerate(zip(edge[:-1], edge[1:])) if y > x]
+                if rows:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), (pa.int64(), *[pa.binary()] * 3))], names=["bucket", "words", "endings", "counts"])
+
+    def total(table: pa.Table) -> pa.Table:
+        word, ending, count = (np.concatenate([unpack(x, k) for x in table.column(c)]) for c, k in (("words", np.uint64), ("endings", np.uint16), ("counts", np.uint32)))
+        word, first, which = np.unique(word, return_index=True, return_inverse=True)
+        return pa.table({"word": word.view(np.int64), "ending": ending[first].astype(np.int32), "c": np.bincount(which, weights=count).astype(np.int64), "first": np.ones(len(word), bool)})
+
+    packed = docs.select("words", "endings", "counts").mapInArrow(read, "bucket bigint, words binary, endings binary, counts binary")
+    return stored(spark, packed.groupBy("bucket").applyInArrow(total, "word bigint, ending int, c bigint, first boolean"), "brown-words")
 
 
 def learn(spark: SparkSession, docs: DataFrame, counted: DataFrame) -> Model:
-    vocabulary = counted.where("first AND c > 0").select("word", "ending", "c")
-    top = vocabulary.orderBy(F.desc("c"), "word").limit(FREQUENT).select("word").collect()
+    top = counted.orderBy(F.desc("c"), "word").limit(FREQUENT).select("word").collect()
     items = Items(np.array([r["word"] for r in top], np.int64).view(np.uint64))
-    path = scratch_path(spark, "brown-bigrams")
-    neighbours(bigrams(docs, items)).write.parquet(path)
-    table = spark.read.parquet(path)
+    size = docs.agg(F.sum("kinds").alias("kinds"), F.sum(F.size(F.filter("learn", lambda x: x))).alias("texts")).first()
+    buckets = bucket_rows(size["kinds"])
+    table = stored(spark, neighbours(bigrams(docs, items, buckets)), "brown-bigrams")
     classes = cluster(table)
-    size = docs.where("learn").agg(F.count("*").alias("n"), F.sum(F.octet_length("text")).alias("b")).first()
-    packed = contexts(docs, items, classes, max(8, (size["b"] or 0) // CONTEXT_BYTES + 1))
-    own = stored(spark, word_classes(packed, classes, class_counts(table, classes)), "brown-classes")
-    named = stored(spark, counted.where("c > 0").join(own, "word", "left").where("c > n OR class IS NOT NULL OR first"), "brown-known")
-    known = named.where("c > n OR class IS NOT NULL").select("block", "word", "c", "class")
-    follow = class_bigrams(docs, known.where("class IS NOT NULL"), items, classes)
-    sizes = class_sizes(named.where("first").select("word", "ending", "c", "class"), items, classes)
-    return Model(items, classes, follow, *sizes, size["n"], known)
+    found = stored(spark, solved(contexts(docs, items, classes, buckets), classes, class_counts(table, classes)), "brown-classes")
+    lines = stored(spark, classified(docs, found), "brown-lines")
+    return Model(items, classes, class_bigrams(lines), *class_sizes(found), size["texts"] or 0, named(found), lines)
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
-    """The digest columns for every row of blocked ``docs``."""
-
-    def read(texts: pa.Table, known: pa.Table) -> pa.Table:
-        out = list(W.chunks(texts.to_batches()))
-        # Counts of words that no other block holds are the block's own.
-        words = [Tokens(batch.column("text")).words().view(np.int64) for batch in out]
-        own_word, own_count = _own_counts(out, words)
-        word = np.concatenate((known.column("word").to_numpy(), own_word))
-        count = np.concatenate((known.column("c").to_numpy(), own_count))
-        word, first = np.unique(word, return_index=True)
-        count = count[first]
-        named = named_classes(known)
-        rows = []
-        for batch, mine in zip(out, words):
-            columns = model.score(batch.column("text"), mine, word, count, *named)
-            held = np.logical_not(batch.column("learn").to_numpy(zero_copy_only=False))
-            total = np.full(batch.num_rows, model.tokens, np.int64)
-            size, seen, base, mine = columns
-            rows.append(pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(held), pa.array(size.astype(np.int64)), pa.array(seen), pa.array(total), pa.array(base), pa.array(mine)], names=[c.split()[0] for c in OUT.split(", ")]))
-        return pa.Table.from_batches(rows) if rows else pa.table({c.split()[0]: pa.array([], t) for c, t in zip(OUT.split(", "), (pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64()))})
-
-    return docs.groupBy("block").cogroup(model.known.groupBy("block")).applyInArrow(read, OUT)
+    """The digest columns for every row of the blocked ``docs`` that the model was made with, whose token classes it keeps."""
 
+    def read(batches) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                ids, learn, sizes, seen, logs = (batch.column(c)[i].values for c in ("doc_id", "learn", "sizes", "seen", "logs"))
+                size, known, base, mine = model.score(*(x.to_numpy() for x in (sizes, seen, logs)), unpack(batch.column("line")[i], np.uint8))
+                held = np.logical_not(learn.to_numpy(zero_copy_only=False))
+                total = np.full(len(size), model.tokens, np.int64)
+                yield pa.RecordBatch.from_arrays([ids, *map(pa.array, (held, size, known, total, base, mine))], names=[c.split()[0] for c in OUT.split(", ")])
 
-def _own_counts(batches: list[pa.RecordBatch], words: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """Words of the learning texts of a block and how often they occur there."""
-    learnt = [np.zeros(0, np.int64)]
-    for batch, word in zip(batches, words):
-        _, _, text = W.spans(*W.raw(batch.column("text")))
-        learnt.append(word[batch.column("learn").to_numpy(zero_copy_only=False)[text]])
-    return np.unique(np.concatenate(learnt), return_counts=True)
+    return model.lines.drop("follow").mapInArrow(read, OUT)
 
 
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     configure(spark)
-    docs = blocked(W.documents(spark, sf_dir))
+    docs = stored(spark, blocked(W.documents(spark, sf_dir)), "brown-chunks")
     counted = count_words(spark, docs)
     return score(docs, learn(spark, docs, counted))
