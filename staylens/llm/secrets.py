@@ -89,7 +89,7 @@ def scan(spark: SparkSession, docs: DataFrame, ledger_path: str, key: str = "doc
     texts = every.withColumn("path_key", spread).join(todo, same)
 
     def read(batches) -> Iterator[pa.RecordBatch]:
-        # Arrow alone: a worker that also loads pandas holds some 100 MB more for the rest of its life.
+        # Arrow alone: a worker that loads pandas holds it for the rest of its life.
         for batch in batches:
             bodies, wanted = batch.column("body"), batch.column("todo")
             spans = [[dict(zip(("start", "rank", "end", "kind"), s)) for s in find(t.as_py(), set(w.as_py()), rules)] for t, w in zip(bodies, wanted)]
