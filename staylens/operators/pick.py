@@ -10,9 +10,13 @@ in the comparison, which makes ties deterministic under task retries.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from itertools import groupby
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from staylens.functions import text
 
 
 def _one_per_key(
@@ -30,9 +34,47 @@ def _one_per_key(
     )
 
 
+def with_packed(df: DataFrame, groups: dict[str, Sequence[str]]) -> DataFrame:
+    """Replace each group of text columns by one text, see :func:`staylens.functions.text.packed`."""
+    taken = {name for names in groups.values() for name in names}
+    return df.select(
+        *[name for name in df.columns if name not in taken], *[text.packed(*names).alias(group) for group, names in groups.items()]
+    )
+
+
+def with_unpacked(df: DataFrame, groups: dict[str, Sequence[str]]) -> DataFrame:
+    """Undo :func:`with_packed`; the columns come last."""
+    parts = df.withColumns({group: text.packed_parts(F.col(group)) for group in groups})
+    return parts.select(
+        *[name for name in df.columns if name not in groups],
+        *[text.unpacked(F.col(group), place).alias(name) for group, names in groups.items() for place, name in enumerate(names)],
+    )
+
+
+def _text_runs(names: Sequence[str], texts: set[str]) -> dict[str, list[str]]:
+    """Text columns that stand beside each other."""
+    runs = [list(run) for is_text, run in groupby(names, texts.__contains__) if is_text]
+    return {f"_packed_{'_'.join(run)}": run for run in runs if len(run) > 1}
+
+
 def latest_per(df: DataFrame, keys: Sequence[str], newest: Sequence[str]) -> DataFrame:
-    """The row with the greatest ``newest`` columns per key (NULLs are oldest)."""
-    return _one_per_key(df, keys, newest, F.max)
+    """The row with the greatest ``newest`` columns per key (NULLs are oldest).
+
+    Texts beside each other travel as one text, the keys and the rest apart; it has their order.
+    """
+    texts = {field.name for field in df.schema.fields if field.dataType == T.StringType()}
+    leading = [name for name in newest if name not in keys]
+    rest = [*leading, *[name for name in df.columns if name not in keys and name not in leading]]
+    runs = [_text_runs(names, texts) for names in (keys, rest)]
+    group_of = {run[0]: group for some in runs for group, run in some.items()}
+    inside = {name for some in runs for run in some.values() for name in run}
+
+    def slim(names: Sequence[str]) -> list[str]:
+        return [group_of.get(name, name) for name in names if name in group_of or name not in inside]
+
+    packed = with_packed(df, runs[0] | runs[1]).select(*slim(keys), *slim(rest))
+    picked = _one_per_key(packed, slim(keys), slim(rest), F.max)
+    return with_unpacked(picked, runs[0] | runs[1]).select(*df.columns)
 
 
 def first_per(df: DataFrame, keys: Sequence[str], earliest: Sequence[str]) -> DataFrame:

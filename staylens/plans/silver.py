@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from staylens import schemas
 from staylens.functions import geo, stay, text
 from staylens.operators.coerce import align_to
 from staylens.operators.lookup import skew_join
-from staylens.operators.pick import latest_located_facility, latest_per, name_if_unknown
+from staylens.operators.pick import latest_located_facility, latest_per, name_if_unknown, with_packed, with_unpacked
 from staylens.operators.scale import with_min_max_scaled
 
 # Most selective first: the sort behind the aggregation compares this prefix.
@@ -102,14 +103,17 @@ def with_distance(
 ) -> DataFrame:
     """Add km to the city centre, preferring the facility page's coordinates.
 
-    ``bronze`` is what ``stays`` was reduced from: its listing counts bound theirs.
+    The texts of a stay travel to the lookup as two. ``bronze`` is what ``stays`` was reduced from: its listing counts bound theirs.
     """
     precise = latest_located_facility(facilities).select(
         "facility_id",
         F.col("latitude").alias("_lat"),
         F.col("longitude").alias("_lon"),
     )
-    placed = skew_join(stays, precise, ["facility_id"])
+    where = ["checkin_date", "checkout_date", "city", "country"]  # apart from texts that a narrow question leaves out
+    shown = [f.name for f in stays.schema.fields if f.dataType == T.StringType() and f.name not in ("facility_id", *where)]
+    groups = {"_where": where, "_shown": shown} if len(shown) > 1 else {"_where": where}
+    placed = with_unpacked(skew_join(with_packed(stays, groups), precise, ["facility_id"]), groups)
     centred = skew_join(placed, city_centres, ["city", "country"])
     return centred.withColumn(
         "distance_from_center_km",
@@ -143,7 +147,7 @@ def airbnb_silver(bronze: DataFrame, facilities: DataFrame, city_centres: DataFr
         "rating",
         "num_reviews",
         "is_available",
-    )
+    ).drop("scraped_at", "_name_key")
     rating = F.col("rating") * 2.0
     scored = with_min_max_scaled(
         with_price_metrics(with_distance(stays, facilities, city_centres, bronze), rating),
