@@ -103,16 +103,16 @@ def with_distance(
 ) -> DataFrame:
     """Add km to the city centre, preferring the facility page's coordinates.
 
-    The texts of a stay travel to the lookup as two. ``bronze`` is what ``stays`` was reduced from: its listing counts bound theirs.
+    What a stay shows travels to the lookup as one text. ``bronze`` is what ``stays`` was reduced from: its listing counts bound theirs.
     """
     precise = latest_located_facility(facilities).select(
         "facility_id",
         F.col("latitude").alias("_lat"),
         F.col("longitude").alias("_lon"),
     )
-    where = ["checkin_date", "checkout_date", "city", "country"]  # apart from texts that a narrow question leaves out
-    shown = [f.name for f in stays.schema.fields if f.dataType == T.StringType() and f.name not in ("facility_id", *where)]
-    groups = {"_where": where, "_shown": shown} if len(shown) > 1 else {"_where": where}
+    # The keys stay columns: a condition on one is moved below the lookup, and would have to take the texts apart twice.
+    shown = [f.name for f in stays.schema.fields if f.dataType == T.StringType() and f.name not in STAY_KEYS]
+    groups = {"_shown": shown} if len(shown) > 1 else {}
     placed = with_unpacked(skew_join(with_packed(stays, groups), precise, ["facility_id"]), groups)
     centred = skew_join(placed, city_centres, ["city", "country"])
     return centred.withColumn(
